@@ -93,8 +93,8 @@ BY_LENGTH = scores(
     f" unnest({TERMS.format('text')}) as word from posts) where word <> ''"
 )
 SENTIMENT = f"""{SCORED},
-totals as (select id, sum(score * len) / sum(len) as score, avg(score) as mean_score,
- arg_max(score, len * 100000 - pos) as main_score from scored group by id),
+totals as (select id, sum(score * len order by pos) / sum(len) as score, avg(score) as mean_score,
+ arg_max(score, len::bigint * 1000000000 - pos) as main_score from scored group by id),
 rated as (select p.id, p.text, coalesce(score, -1.0) as score, coalesce(mean_score, -1.0) as mean_score,
  coalesce(main_score, -1.0) as main_score from posts p left join totals t on p.id = t.id),
 classed as (select *, case when score <= 0 or score >= 5 then 'NOT_UNDERSTOOD'
@@ -124,7 +124,9 @@ posterior as (select t.id, m.label, any_value(m.prior) + sum(m.weight * coalesce
  from test t cross join model m left join counts c on c.id = t.id and c.feature = m.feature
  group by t.id, m.label),
 predicted as (select t.id, t.label, x.prediction_bayes from test t join
- (select id, arg_max(label, p) as prediction_bayes from posterior group by id) x on x.id = t.id)"""
+ (select id, label as prediction_bayes, row_number() over
+ (partition by id order by round(p, 9) desc, label) as place from posterior) x
+ on x.id = t.id and x.place = 1)"""
 
 CENTRES = """with parts as (select vec_id, label, unnest(range(1, len(embedding) + 1)) as i,
  unnest(embedding)::double as x from embeddings),

@@ -365,9 +365,8 @@ def assigned(spark, sf_dir):
 def assign_clusters(spark, sf_dir):
     rows, model, centres = assigned(spark, sf_dir)
     cluster = F.get(F.lit(K.centre_numbers(model, centres)), F.col("prediction"))
-    distance = K.squared_distance(F.col("features"), model, F.col("prediction"))
-    return rows.select(
-        "vec_id", cluster.alias("cluster"), F.round(distance, 6).alias("distance")
+    return K.with_distance(rows, model).select(
+        "vec_id", cluster.alias("cluster"), F.round("distance", 6).alias("distance")
     )
 
 

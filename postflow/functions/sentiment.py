@@ -97,9 +97,14 @@ def mean_score(scored: Column) -> Column:
 
 def main_score(scored: Column) -> Column:
     """Score of the longest sentence, the first one on a tie; -1 without a sentence."""
-    longest = F.array_max(F.transform(scored, lambda s: s["length"]))
-    first = F.get(F.filter(scored, lambda s: s["length"] == longest), F.lit(0))
-    return F.coalesce(first["score"], F.lit(NO_SENTENCE))
+    start = F.struct(F.lit(NO_SENTENCE).alias("score"), F.lit(0).alias("length"))
+    longest = F.aggregate(
+        scored,
+        start,
+        lambda acc, s: F.when(s["length"] > acc["length"], s).otherwise(acc),
+        lambda acc: acc["score"],
+    )
+    return F.coalesce(longest, F.lit(NO_SENTENCE))
 
 
 def sentiment_class(score: Column) -> Column:

@@ -1,5 +1,7 @@
 """Expressions over post text: built-in, null-safe, and narrow (no shuffle)."""
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,12 +19,9 @@ def tokens(text: Column) -> Column:
     Inner and leading empty words stay, trailing ones go. Empty text is one empty word,
     all-blank or null text is no word.
     """
-    stripped = F.rtrim(F.lower(text), F.lit(BLANKS))
     none = F.array().cast("array<string>")
-    return (
-        F.when(text.isNull() | ((stripped == "") & (text != "")), none)
-        .otherwise(F.split(stripped, f"[{BLANKS}]"))
-    )
+    words = F.split(F.rtrim(F.lower(text), F.lit(BLANKS)), f"[{BLANKS}]")
+    return F.when(text.isNull() | text.rlike(f"^[{BLANKS}]+$"), none).otherwise(words)
 
 
 def terms(text: Column) -> Column:
@@ -51,12 +50,16 @@ def matches_phrase(text: Column, phrases) -> Column:
     if not needed:
         raise ValueError("no phrase to track")
     used = sorted({term for phrase in needed for term in phrase})
-    wanted = F.array(*[F.array(*[F.lit(t) for t in phrase]) for phrase in needed])
+    wanted = F.from_json(F.lit(json.dumps(needed)), "array<array<string>>")
     hits = F.filter(terms(text), lambda word: word.isin(used))
-    found = F.exists(
-        wanted, lambda phrase: F.forall(phrase, lambda term: F.array_contains(hits, term))
-    )
-    return F.coalesce((F.size(hits) > 0) & found, F.lit(False))
+
+    def any_phrase(found: Column) -> Column:
+        return (F.size(found) > 0) & F.exists(
+            wanted, lambda phrase: F.forall(phrase, lambda term: F.array_contains(found, term))
+        )
+
+    # Wrapped in an array, the hits become a lambda variable and are computed once per row.
+    return F.coalesce(F.exists(F.array(hits), any_phrase), F.lit(False))
 
 
 def sentences(text: Column) -> Column:

@@ -1,9 +1,10 @@
 """Splitting, k-means over a grid of k, elbow choice and cluster reports."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -16,6 +17,9 @@ from postflow.values import ELBOW_SLOPE, K_GRID, KMEANS_SEED, SPLIT_SEED
 
 SPLIT_BUCKETS = 1000
 
+# Vectors up to this long have their distances spelled out.
+UNROLLED = 32
+
 
 def with_part(
     df: DataFrame, train: float = 0.7, seed: int = SPLIT_SEED, key: str = "id"
@@ -53,19 +57,24 @@ def kmeans_grid(
     grid=K_GRID,
     seed: int = KMEANS_SEED,
     features: str = "features",
-    at_once: int = 4,
+    at_once: int = 8,
 ) -> dict[int, KMeansModel]:
-    """One model per k. The features are cached once for all fits, ``at_once`` of which overlap."""
+    """One model per k.
+
+    The features are cached once for all fits. ``at_once`` of these overlap, the longest first.
+    """
     points = train.select(features).persist()
     fit = inheritable_thread_target(train.sparkSession)(
         lambda k: fit_kmeans(points, k, seed, features)
     )
     try:
         points.count()
+        largest = sorted(grid, reverse=True)
         with ThreadPoolExecutor(at_once) as pool:
-            return dict(zip(grid, pool.map(fit, grid)))
+            models = dict(zip(largest, pool.map(fit, largest)))
     finally:
         points.unpersist()
+    return {k: models[k] for k in grid}
 
 
 def centres_of(df: DataFrame, label: str, features: str, most: int = 10_000) -> list[list[float]]:
@@ -77,17 +86,27 @@ def centres_of(df: DataFrame, label: str, features: str, most: int = 10_000) ->
     return [row["centre"].toArray().tolist() for row in sorted(rows, key=lambda r: r[label])]
 
 
+def _centre_table(spark: SparkSession, models: Mapping[int, Sequence]) -> DataFrame:
+    """``(k, cluster, centre)`` as a local relation, which needs no job to be read."""
+    rows = [(k, i, c) for k, centres in models.items() for i, c in enumerate(centres)]
+    columns = {
+        "k": pa.array([row[0] for row in rows], pa.int32()),
+        "cluster": pa.array([row[1] for row in rows], pa.int32()),
+        "centre": pa.array([list(map(float, row[2])) for row in rows], pa.list_(pa.float64())),
+    }
+    return spark.createDataFrame(pa.table(columns))
+
+
 def model_of(spark: SparkSession, centres, features: str = "features") -> KMeansModel:
     """A model with the given centres, numbered as in ``model.clusterCenters()``.
 
     Random initialisation without replacement of as many centres as there are rows takes every
     row, and one round over them leaves each in place.
     """
-    rows = spark.createDataFrame([(list(c),) for c in centres], "c array<double>").coalesce(1)
-    points = rows.select(array_to_vector("c").alias(features))
+    points = _centre_table(spark, {0: centres}).select(array_to_vector("centre").alias(features))
     return KMeans(
         k=len(centres), initMode="random", maxIter=1, seed=KMEANS_SEED, featuresCol=features
-    ).fit(points)
+    ).fit(points.coalesce(1))
 
 
 def centre_numbers(model: KMeansModel, centres) -> list[int]:
@@ -96,37 +115,56 @@ def centre_numbers(model: KMeansModel, centres) -> list[int]:
     return [int(((given - c) ** 2).sum(axis=1).argmin()) for c in model.clusterCenters()]
 
 
-def _literal(model: KMeansModel) -> Column:
-    """The centres as one constant ``array<array<double>>``."""
-    rows = [",".join(f"{float(x)!r}D" for x in c) for c in model.clusterCenters()]
-    return F.expr(f"array({','.join(f'array({row})' for row in rows)})")
+def assign_clusters(df: DataFrame, model: KMeansModel, output: str = "prediction") -> DataFrame:
+    return model.transform(df, {model.predictionCol: output})
 
 
-def squared_distance(features: Column, model: KMeansModel, cluster: Column) -> Column:
-    """Squared distance from a vector to the centre of its cluster."""
-    centre = F.get(_literal(model), cluster)
-    parts = F.zip_with(vector_to_array(features), centre, lambda a, b: (a - b) * (a - b))
+def _squared_distance(point: str, centre: str, size: int) -> Column:
+    """Squared distance of two array columns; spelled out by element while that stays short,
+    which compiles to plain arithmetic."""
+    if size <= UNROLLED:
+        steps = [f"({point}[{i}] - {centre}[{i}])" for i in range(size)]
+        return F.expr(" + ".join(f"{step} * {step}" for step in steps))
+    parts = F.zip_with(point, centre, lambda a, b: (a - b) * (a - b))
     return F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def assign_clusters(df: DataFrame, model: KMeansModel, output: str = "prediction") -> DataFrame:
-    return model.transform(df, {model.predictionCol: output})
+def with_distance(
+    df: DataFrame, model: KMeansModel, features: str = "features", cluster: str = "prediction"
+) -> DataFrame:
+    """Add ``distance``: the squared distance to the centre of the assigned cluster.
+
+    The centres broadcast here are already on the driver, inside the model.
+    """
+    centres = cluster_centres(df.sparkSession, model).withColumnRenamed("cluster", cluster)
+    joined = df.withColumn("_point", vector_to_array(features)).join(F.broadcast(centres), cluster)
+    distance = _squared_distance("_point", "centre", len(model.clusterCenters()[0]))
+    return joined.withColumn("distance", distance).drop("_point", "centre")
 
 
 def wssse(df: DataFrame, models: Mapping[int, KMeansModel], features: str = "features") -> DataFrame:
-    """``(k, wssse)`` over all rows of ``df``: every model in one pass over the features."""
+    """``(k, wssse)`` over all rows of ``df``: every model in one pass over the features.
+
+    A row is assigned by each model in turn, then meets its centres in one broadcast join. Only
+    one partial sum per model and task is shuffled.
+    """
     rows = df.select(features)
     for k, model in models.items():
         rows = assign_clusters(rows, model, f"_c{k}")
-    cost = [
-        F.sum(squared_distance(F.col(features), model, F.col(f"_c{k}"))).alias(str(k))
-        for k, model in models.items()
+    assigned = [
+        F.struct(F.lit(k).alias("k"), F.col(f"_c{k}").alias("cluster")) for k in models
     ]
-    totals = rows.agg(*cost)
-    curve = F.array(
-        *[F.struct(F.lit(k).alias("k"), F.col(str(k)).alias("wssse")) for k in models]
+    points = rows.select(
+        vector_to_array(features).alias("point"), F.explode(F.array(*assigned)).alias("a")
+    ).select("point", "a.k", "a.cluster")
+    given = {k: model.clusterCenters() for k, model in models.items()}
+    size = len(next(iter(given.values()))[0])
+    centres = _centre_table(df.sparkSession, given)
+    return (
+        points.join(F.broadcast(centres), ["k", "cluster"])
+        .groupBy("k")
+        .agg(F.sum(_squared_distance("point", "centre", size)).alias("wssse"))
     )
-    return totals.select(F.inline(curve))
 
 
 def elbow(curve: DataFrame, threshold: float = ELBOW_SLOPE) -> DataFrame:
@@ -144,8 +182,7 @@ def elbow(curve: DataFrame, threshold: float = ELBOW_SLOPE) -> DataFrame:
 
 def cluster_centres(spark: SparkSession, model: KMeansModel) -> DataFrame:
     """``(cluster, centre)`` of a fitted model."""
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return spark.createDataFrame(rows, "cluster int, centre array<double>")
+    return _centre_table(spark, {0: model.clusterCenters()}).drop("k")
 
 
 def cluster_sizes(df: DataFrame, cluster: str = "prediction", top: int = 20) -> DataFrame:
