@@ -66,15 +66,22 @@ def flat_posts(df: DataFrame) -> DataFrame:
 
 
 def words_of(df: DataFrame) -> DataFrame:
-    return df.transform(W.tokenize).transform(W.remove_stop_words)
+    return df.transform(W.tokenize).transform(W.remove_stop_words, lowered=True)
 
 
-def arrived(spark: SparkSession, sf_dir: str) -> str:
-    """Posts as JSON files of ascending time, for a stream to pick up one by one."""
+def arrived(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """Posts as JSON files of ascending time, and how many files make a third of them."""
     path = shared_dir(spark, "arrived")
-    df = writers.collected_record(posts(spark, sf_dir).repartitionByRange(3, "createdAt"))
-    df.write.json(path)
-    return path
+    files = max(3, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df = posts(spark, sf_dir).repartitionByRange(files, "createdAt")
+    writers.collected_record(df).write.json(path)
+    return path, -(-files // 3)
+
+
+def arriving(spark: SparkSession, sf_dir: str, phrases=None) -> DataFrame:
+    """The same as a stream of three windows."""
+    path, third = arrived(spark, sf_dir)
+    return readers.stream_posts(spark, path, phrases, files_per_batch=third)
 
 
 # Sources and sinks
@@ -98,8 +105,7 @@ def read_time_slice(spark, sf_dir):
 
 @query
 def stream_posts(spark, sf_dir):
-    path = arrived(spark, sf_dir)
-    stream = readers.stream_posts(spark, path, TRACK_PHRASES + PHRASES, files_per_batch=1)
+    stream = arriving(spark, sf_dir, TRACK_PHRASES + PHRASES)
     out = shared_dir(spark, "tracked")
     (
         stream.writeStream.format("parquet")
@@ -125,7 +131,7 @@ def posts_to_json(spark, sf_dir):
 
 @query
 def sink_by_time(spark, sf_dir):
-    stream = readers.stream_posts(spark, arrived(spark, sf_dir), None, files_per_batch=1)
+    stream = arriving(spark, sf_dir)
     out = shared_dir(spark, "slices")
     jobs.collect_posts(
         stream, out, shared_dir(spark, "checkpoint"), None, "hour"
@@ -483,7 +489,7 @@ def batch_window_counts(spark, sf_dir):
 
 @query
 def live_curate(spark, sf_dir):
-    stream = readers.stream_posts(spark, arrived(spark, sf_dir), None, files_per_batch=1)
+    stream = arriving(spark, sf_dir)
     out = shared_dir(spark, "live")
     jobs.curate_live(stream, out, shared_dir(spark, "checkpoint"), None).awaitTermination()
     return spark.read.parquet(out).select(
@@ -499,7 +505,7 @@ def live_curate(spark, sf_dir):
 
 @query
 def live_analyze(spark, sf_dir):
-    stream = readers.stream_posts(spark, arrived(spark, sf_dir), None, files_per_batch=1)
+    stream = arriving(spark, sf_dir)
     out = shared_dir(spark, "live")
     jobs.analyse_live(
         stream, out, shared_dir(spark, "checkpoint"), None, LEXICON

@@ -33,10 +33,10 @@ def terms(text: Column) -> Column:
     return F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}_]+")
 
 
-def without(words: Column, dropped) -> Column:
-    """``words`` less the given ones, compared without case."""
+def without(words: Column, dropped, lowered: bool = False) -> Column:
+    """``words`` less the given ones, compared without case (or as they are, if ``lowered``)."""
     dropped = [word.lower() for word in dropped]
-    return F.filter(words, lambda word: ~F.lower(word).isin(dropped))
+    return F.filter(words, lambda word: ~(word if lowered else F.lower(word)).isin(dropped))
 
 
 def matches_phrase(text: Column, phrases) -> Column:

@@ -4,12 +4,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
 
 
-def fits(table: DataFrame, rows: int) -> bool:
-    """Whether ``table`` has at most ``rows`` rows, counting no further than that."""
-    return table.limit(rows + 1).count() <= rows
+def fits_broadcast(table: DataFrame, rows: int) -> bool:
+    """Whether ``table`` stays within ``rows`` rows and a size any executor can hold.
+
+    The size is that of its rows as JSON text, summed where they are stored.
+    """
+    width = F.octet_length(F.to_json(F.struct(*table.columns)))
+    found = table.agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).first()
+    return found["rows"] <= rows and (found["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def lookup_join(
@@ -22,12 +28,12 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` to ``table`` on ``key``, whichever way the size of ``table`` allows.
 
-    A table counted to be small is broadcast. Otherwise both sides are shuffled on the key plus
+    A table measured to be small is broadcast. Otherwise both sides are shuffled on the key plus
     a salt, with ``table`` repeated once per salt: a key holding a third of all rows is spread
     over ``salts`` tasks, and adaptive execution may split those further. Pass a stored table
-    (not a long plan): it is read once for the count and once for the join.
+    (not a long plan): it is read once to be measured and once for the join.
     """
-    if fits(table, broadcast_rows):
+    if fits_broadcast(table, broadcast_rows):
         return rows.join(F.broadcast(table), key, how)
     others = [F.col(name) for name in rows.columns if name != key]
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))

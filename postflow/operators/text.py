@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postflow.functions import text as X
-from postflow.operators.joins import BROADCAST_ROWS, fits, lookup_join
+from postflow.operators.joins import BROADCAST_ROWS, lookup_join
 from postflow.values import TERM_BUCKETS, VECTOR_SIZE
 
 
@@ -40,10 +40,16 @@ def tokenize(
     return splitter.transform(safe).drop("_text")
 
 
-def remove_stop_words(df: DataFrame, language: str = "english", words=None) -> DataFrame:
-    """Add ``filtered_words``: ``words`` less the stop words of ``language`` (or the given list)."""
+def remove_stop_words(
+    df: DataFrame, language: str = "english", words=None, lowered: bool = False
+) -> DataFrame:
+    """Add ``filtered_words``: ``words`` less the stop words of ``language`` (or the given list).
+
+    ``lowered`` says that ``words`` are in lower case already, as :func:`tokenize` leaves them;
+    they are then compared as they are.
+    """
     dropped = StopWordsRemover.loadDefaultStopWords(language) if words is None else list(words)
-    return df.withColumn("filtered_words", X.without(F.col("words"), dropped))
+    return df.withColumn("filtered_words", X.without(F.col("words"), dropped, lowered))
 
 
 def hashing_tf(
@@ -140,8 +146,7 @@ def fit_word_vectors(
     found = counted.first()
     if found["vocabulary"] > MAX_VOCABULARY:
         words = df.select(F.explode(input_col).alias("word")).groupBy("word").count()
-        frequent = words.filter(F.col("count") >= min_count)
-        if not fits(frequent, MAX_VOCABULARY):
+        if words.filter(F.col("count") >= min_count).count() > MAX_VOCABULARY:
             raise ValueError(
                 f"about {found['vocabulary']} distinct words do not fit the driver; "
                 "raise min_count"

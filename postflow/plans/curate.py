@@ -42,7 +42,7 @@ def with_words(df: DataFrame, language: str = "english") -> DataFrame:
     return (
         df.transform(X.with_hashtags)
         .transform(X.tokenize)
-        .transform(X.remove_stop_words, language)
+        .transform(X.remove_stop_words, language, lowered=True)
     )
 
 

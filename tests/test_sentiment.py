@@ -105,3 +105,11 @@ def test_labels_with_gaps_come_back(spark):
     assert {r["prediction_bayes"] for r in predicted.collect()} == {1, 3, 5}
     confusion = {tuple(r) for r in B.confusion_counts(predicted).collect()}
     assert confusion == {(1, 1, 4), (3, 3, 4), (5, 5, 4)}
+
+
+def test_default_lexicon(spark):
+    from postflow.lexicon import ENGLISH
+
+    assert scored(spark, "What a wonderful day", ENGLISH)[0] == 4.0
+    assert scored(spark, "A terrible, awful idea", ENGLISH)[0] == 0.0
+    assert scored(spark, "The table is brown", ENGLISH)[0] == 2.0
