@@ -35,7 +35,8 @@ def lookup_join(
     """
     if fits_broadcast(table, broadcast_rows):
         return rows.join(F.broadcast(table), key, how)
-    others = [F.col(name) for name in rows.columns if name != key]
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
+    # A hash of the row, not a random number: a task that runs again must send it the same way.
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
+    salted = rows.withColumn("_salt", salt)
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
