@@ -310,8 +310,9 @@ def idf_weights(spark, sf_dir):
 @query
 def tf_idf(spark, sf_dir):
     words = words_of(posts(spark, sf_dir)).select("id", "filtered_words")
-    weights = store(W.idf_weights(words), shared_dir(spark, "idf"))
-    return W.tf_idf(words, weights).select("id", "term", F.round("tf_idf", 6).alias("tf_idf"))
+    counts = store(W.term_counts(words), shared_dir(spark, "counts"))
+    weights = store(W.idf_weights(words, counts=counts), shared_dir(spark, "idf"))
+    return W.tf_idf(counts, weights).select("id", "term", F.round("tf_idf", 6).alias("tf_idf"))
 
 
 # Clustering

@@ -88,37 +88,35 @@ def term_counts(df: DataFrame, key: str = "id", words: str = "filtered_words") -
     )
 
 
-def idf_weights(df: DataFrame, words: str = "filtered_words") -> DataFrame:
+def idf_weights(
+    df: DataFrame, words: str = "filtered_words", counts: DataFrame | None = None
+) -> DataFrame:
     """``(term, df, idf)`` with ``idf = ln((m + 1) / (df + 1))`` over the m rows of ``df``.
 
     Repeats within a row go by ``array_distinct`` before the shuffle, which then only carries
-    one partial count per term and task, however common the term.
+    one partial count per term and task, however common the term. Stored :func:`term_counts` of
+    the same rows, given as ``counts``, save splitting the text again.
     """
+    if counts is None:
+        distinct = df.select(F.explode(F.array_distinct(words)).alias("term"))
+        counts = distinct.filter(F.col("term") != "")
     posts = df.agg(F.count("*").alias("m"))
-    return (
-        df.select(F.explode(F.array_distinct(words)).alias("term"))
-        .filter(F.col("term") != "")
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
-        .select("term", "df", F.log((posts.scalar() + F.lit(1.0)) / (F.col("df") + 1.0)).alias("idf"))
-    )
+    idf = F.log((posts.scalar() + F.lit(1.0)) / (F.col("df") + 1.0))
+    weights = counts.groupBy("term").agg(F.count("*").alias("df"))
+    return weights.select("term", "df", idf.alias("idf"))
 
 
 def tf_idf(
-    df: DataFrame,
-    weights: DataFrame,
-    key: str = "id",
-    words: str = "filtered_words",
-    broadcast_rows: int = BROADCAST_ROWS,
+    counts: DataFrame, weights: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """``(key, term, tf_idf)`` for the terms that have a weight.
+    """``(key, term, tf_idf)`` of :func:`term_counts` for the terms that have a weight.
 
     ``weights`` is the (stored) result of :func:`idf_weights`, on these posts or on others.
     """
-    joined = lookup_join(
-        term_counts(df, key, words), weights.select("term", "idf"), "term", broadcast_rows=broadcast_rows
-    )
-    return joined.select(key, "term", (F.col("tf") * F.col("idf")).alias("tf_idf"))
+    table = weights.select("term", "idf")
+    joined = lookup_join(counts, table, "term", broadcast_rows=broadcast_rows)
+    keys = [name for name in counts.columns if name not in ("term", "tf")]
+    return joined.select(*keys, "term", (F.col("tf") * F.col("idf")).alias("tf_idf"))
 
 
 MAX_VOCABULARY = 10_000_000

@@ -71,12 +71,12 @@ def test_idf_counts_posts_without_reading_them(stored):
 def test_lookup_is_broadcast_only_when_small(spark, stored):
     words = words_of(stored).select("id", "filtered_words")
     weights = store(W.idf_weights(words), shared_dir(spark, "idf"))
-    assert "BroadcastHashJoin" in plan_of(W.tf_idf(words, weights))
+    assert "BroadcastHashJoin" in plan_of(W.tf_idf(W.term_counts(words), weights))
     off = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
     for name, value in off.items():
         spark.conf.set(name, value)
     try:
-        plan = plan_of(W.tf_idf(words, weights, broadcast_rows=10))
+        plan = plan_of(W.tf_idf(W.term_counts(words), weights, 10))
     finally:
         for name in off:
             spark.conf.unset(name)

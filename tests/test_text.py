@@ -104,9 +104,11 @@ def test_idf_and_tf_idf(spark):
     assert weights == pytest.approx(
         {"a": math.log(5 / 4), "b": math.log(5 / 2), "c": math.log(5 / 2)}
     )
-    stored = store(W.idf_weights(df), shared_dir(spark, "idf"))
+    again = W.idf_weights(df, counts=W.term_counts(df))
+    assert again.exceptAll(W.idf_weights(df)).isEmpty()
+    stored = store(again, shared_dir(spark, "idf"))
     for rows in (1000, 0):
-        got = {(r["id"], r["term"]): r["tf_idf"] for r in W.tf_idf(df, stored, broadcast_rows=rows).collect()}
+        got = {(r["id"], r["term"]): r["tf_idf"] for r in W.tf_idf(W.term_counts(df), stored, rows).collect()}
         assert got == pytest.approx(
             {
                 (1, "a"): 2 * weights["a"],
