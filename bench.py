@@ -20,7 +20,7 @@ HEADLINE = (
     "wssse",
     "kmeans_grid",
     "batch_window_counts",
-    "stream_window_counts",
+    "window_counts",
     "sink_by_time",
 )
 RUNS = 3

@@ -128,6 +128,49 @@ predicted as (select t.id, t.label, x.prediction_bayes from test t join
  (partition by id order by round(p, 9) desc, label) as place from posterior) x
  on x.id = t.id and x.place = 1)"""
 
+# The public 32-bit Murmur3 hash of UTF-8 bytes with seed 42, in unsigned 64-bit arithmetic:
+# whole little-endian blocks of four bytes, then the rest, then the final mix.
+MASK = "4294967295::ubigint"
+
+
+def times(x: str, factor: int) -> str:
+    return f"(({x}) * {factor}::ubigint & {MASK})"
+
+
+def rotate(x: str, bits: int) -> str:
+    return f"({times(x, 2**bits)} | (({x}) >> {32 - bits}))"
+
+
+def block_mix(k: str) -> str:
+    return times(rotate(times(k, 0xCC9E2D51), 15), 0x1B873593)
+
+
+def little_endian(size: int, at: str) -> str:
+    pairs = " || ".join(f"substr(hex, {at} + {2 * i}, 2)" for i in reversed(range(size)))
+    return f"('0x' || {pairs})::ubigint"
+
+
+def tail(size: int) -> str:
+    return f"when n % 4 = {size} then {block_mix(little_endian(size, '2 * (n - n % 4) + 1'))}"
+
+
+STEP = f"({rotate('xor(h, k)', 13)} * 5::ubigint + {0xE6546B64}::ubigint) & {MASK}"
+BUCKETS = f"""{WORDS},
+bytes as (select term, hex(encode(term)) as hex, octet_length(encode(term)) as n
+ from (select distinct unnest(ws) as term from words)),
+mixed as (select term, n, list_reduce(list_transform(range(0, n // 4),
+  lambda i: {block_mix(little_endian(4, "8 * i + 1"))}), lambda h, k: {STEP}, 42::ubigint) as h,
+ case {tail(1)} {tail(2)} {tail(3)} else 0::ubigint end as rest from bytes),
+started as (select term, xor(xor(h, rest), n::ubigint) as h from mixed),
+half as (select term, {times('xor(h, h >> 16)', 0x85EBCA6B)} as h from started),
+most as (select term, {times('xor(h, h >> 13)', 0xC2B2AE35)} as h from half),
+hashed as (select term, xor(h, h >> 16)::bigint as h from most),
+buckets as (select term,
+ (((case when h >= 2147483648 then h - 4294967296 else h end) % 20 + 20) % 20)::integer as bucket
+ from hashed),
+bucket_counts as (select id, bucket, count(*) as n from
+ (select id, unnest(ws) as term from words) join buckets using (term) group by id, bucket)"""
+
 CENTRES = """with parts as (select vec_id, label, unnest(range(1, len(embedding) + 1)) as i,
  unnest(embedding)::double as x from embeddings),
 centres as (select label as cid, list(x order by i) as c from
@@ -141,9 +184,10 @@ CURVE_ROWS = ", ".join(f"({k})" for k in CURVE_GRID)
 WINDOW_COUNTS = """select date_trunc('hour', ts) as window_start,
  date_trunc('hour', ts) + interval 1 hour as window_end, event_type, count(*) as count
  from events group by all"""
+KEPT = f"""lang = 'en' and source is not null and retweetedStatus.retweetCount > 100
+ and retweetedStatus."user".followersCount > 100 and {DEVICE_TEST}"""
 CURATED = f"""{POSTS}, kept as (select distinct {PROJECT.format("""coalesce("user".location, 'Other')""")} from posts
- where lang = 'en' and source is not null and retweetedStatus.retweetCount > 100
- and retweetedStatus."user".followersCount > 100 and {DEVICE_TEST})
+ where {KEPT})
 select *, {bar(HASHTAGS)} as hashtags, {bar(TOKENS)} as words,
  {bar(without_stop_words(TOKENS))} as filtered_words from kept"""
 LIVE = f"""{POSTS}, flat as (select id, createdAt, text, {SOURCE} as source, lang,
@@ -153,6 +197,26 @@ kept as (select distinct createdAt, retweetCount, source, id, userLang, text fro
 select *, {bar(HASHTAGS)} as hashtags, {bar(TOKENS)} as words,
  {bar(without_stop_words(TOKENS))} as filtered_words from kept"""
 
+CLASSIFIED = f"""{BUCKETS}{SENTIMENT.removeprefix(POSTS)},
+parted as (select id, label, {PART} as part from labelled
+ where id in (select id from posts where {KEPT})),
+every as (select unnest(range(20))::integer as bucket),
+train as (select id, label from parted where part = 'train'),
+weights as (select bucket, ln(((select count(*) from train) + 1.0) / (count(c.id) + 1.0)) as w
+ from every left join (select * from bucket_counts where id in (select id from train)) c
+ using (bucket) group by bucket),
+features as (select c.id, c.bucket, c.n * w.w as x from bucket_counts c join weights w using (bucket)),
+classes as (select label, count(*) as docs from train group by label),
+sums as (select c.label, e.bucket, coalesce(sum(f.x), 0.0) as x from classes c cross join every e
+ left join (select t.label, f.bucket, f.x from train t join features f on f.id = t.id) f
+ on f.label = c.label and f.bucket = e.bucket group by c.label, e.bucket),
+model as (select label, ln(docs + 1.0) - ln((select sum(docs) + count(*) from classes)) as prior,
+ bucket, ln(x + 1.0) - ln(sum(x) over (partition by label) + 20.0) as weight
+ from sums join classes using (label)),
+posterior as (select t.id, m.label, any_value(m.prior) + sum(m.weight * coalesce(f.x, 0.0)) as p
+ from parted t cross join model m left join features f on f.id = t.id and f.bucket = m.bucket
+ where t.part = 'test' group by t.id, m.label)"""
+
 ORACLES = {
     "read_posts_json": f"{POSTS} select {FLAT} from posts",
     "read_time_slice": f"""{POSTS} select id, createdAt, text, year(createdAt)::integer as year,
@@ -202,6 +266,9 @@ sums as (select id, sum(v0) as v0, sum(v1) as v1, sum(v2) as v2 from occurrences
  join vectors using (term) group by id)
 select w.id, {", ".join(f"round(coalesce(s.v{i}, 0.0) / greatest(len(ws), 1), 6) as v{i}" for i in range(3))}
  from words w left join sums s on s.id = w.id""",
+    "hashing_tf": f"""{BUCKETS} select w.id, string_agg(coalesce(n, 0)::varchar || '.0', ',' order by b.bucket) as rawFeatures
+ from words w cross join (select unnest(range(20))::integer as bucket) b
+ left join bucket_counts c on c.id = w.id and c.bucket = b.bucket group by w.id""",
     "idf_weights": f"{WORDS} select term, df, round(idf, 6) as idf from idf",
     "tf_idf": f"{WORDS} select id, term, round(tf * idf, 6) as tf_idf from tf join idf using (term)",
     "split_train_test": f"{POSTS} select id, {PART} as part from posts",
@@ -231,8 +298,11 @@ select coalesce(max(case when slope < -3 then k end), min(k))::integer as elbow_
     "bayes_predict": f"{BAYES} select id, label, prediction_bayes from predicted",
     "confusion_counts": f"""{BAYES} select label, prediction_bayes as prediction, count(*) as count
  from predicted group by all""",
-    "stream_window_counts": WINDOW_COUNTS,
+    "window_counts": WINDOW_COUNTS,
     "batch_window_counts": WINDOW_COUNTS,
     "live_curate": LIVE,
     "curate_posts": CURATED,
+    "classify_posts": f"""{CLASSIFIED} select id, label as prediction_bayes from
+ (select id, label, row_number() over (partition by id order by round(p, 9) desc, label) as place
+ from posterior) where place = 1""",
 }

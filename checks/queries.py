@@ -31,12 +31,15 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
+    """Register ``fn`` under its name, less a ``_query`` ending where an operator has the name."""
+    name = fn.__name__.removesuffix("_query")
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return fn(spark, sf_dir)
 
-    run.__name__ = fn.__name__
-    QUERIES[fn.__name__] = run
+    run.__name__ = name
+    QUERIES[name] = run
     return run
 
 
@@ -400,7 +403,7 @@ def sentence_scores(spark, sf_dir):
 
 @query
 def sentence_scores_by_table(spark, sf_dir):
-    """The lexicon as a table: every third-letter class of the words in use gets a score."""
+    """The lexicon as a table: every word in use gets a score by its length."""
     df = posts(spark, sf_dir)
     words = df.select(F.explode(X.terms(F.col("text"))).alias("word")).distinct()
     lexicon = words.select("word", (F.length("word") % 5).cast("double").alias("score"))
@@ -461,7 +464,7 @@ def confusion_counts(spark, sf_dir):
 
 
 @query
-def stream_window_counts(spark, sf_dir):
+def window_counts_query(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     stream = spark.readStream.schema(events.schema).option(
         "pathGlobFilter", "events.parquet"
@@ -523,9 +526,6 @@ def curate_posts_query(spark, sf_dir):
     return curated.select(*plain, *joined(*arrays))
 
 
-QUERIES["curate_posts"] = QUERIES.pop("curate_posts_query")
-
-
 @query
 def cluster_posts_query(spark, sf_dir):
     out = shared_dir(spark, "analysis")
@@ -534,9 +534,6 @@ def cluster_posts_query(spark, sf_dir):
     return cluster_posts(train, test, out).predictions.select("id", "prediction")
 
 
-QUERIES["cluster_posts"] = QUERIES.pop("cluster_posts_query")
-
-
 @query
 def classify_posts_query(spark, sf_dir):
     out = shared_dir(spark, "analysis")
@@ -545,5 +542,3 @@ def classify_posts_query(spark, sf_dir):
     classes = classify_posts(train, test, out, LEXICON)
     return classes.predictions.select("id", "prediction_bayes")
 
-
-QUERIES["classify_posts"] = QUERIES.pop("classify_posts_query")

@@ -176,8 +176,9 @@ def average_word_vectors(
     ``vectors`` is ``(word, vector array<double>)``, such as ``model.getVectors()`` with arrays.
     A word without a vector adds nothing but counts in the mean; a post without words gets zeros.
     """
+    # A post without words keeps one row, whose word is null and has no vector.
     counts = (
-        df.select(key, F.explode(words).alias("word"))
+        df.select(key, F.explode_outer(words).alias("word"))
         .groupBy(key, "word")
         .agg(F.count("*").alias("n"))
     )
@@ -186,8 +187,4 @@ def average_word_vectors(
         F.coalesce(F.sum(F.col("n") * F.col("vector")[i]), F.lit(0.0)) / F.sum("n")
         for i in range(size)
     ]
-    means = joined.groupBy(key).agg(F.array(*sums).alias("vector"))
-    zeros = df.filter(F.coalesce(F.size(words), F.lit(0)) == 0).select(
-        key, F.array(*[F.lit(0.0)] * size).alias("vector")
-    )
-    return means.unionByName(zeros)
+    return joined.groupBy(key).agg(F.array(*sums).alias("vector"))

@@ -2,10 +2,16 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="postflow-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path below the folder the cluster shares between its machines.
 
@@ -16,13 +22,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="postflow-")
+        root = _local_root()
     return f"{root.rstrip('/')}/postflow/{name}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as parquet and read it back, which ends its lineage in a durable table.
 
-    An earlier table at ``path`` is replaced, so a repeated batch leaves one copy."""
+    An earlier table at ``path`` is replaced, so a repeated batch leaves one copy.
+    """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
