@@ -41,7 +41,7 @@ def sentence_scores_by_table(
 ) -> DataFrame:
     """:func:`sentence_scores` for a lexicon of any size, given as a stored table ``(word, score)``."""
     words = parts.select(key, "pos", F.explode(terms(F.col("sentence"))).alias("word"))
-    counts = words.filter(F.col("word") != "").groupBy(key, "pos", "word").agg(F.count("*").alias("n"))
+    counts = words.groupBy(key, "pos", "word").agg(F.count("*").alias("n"))
     hits = lookup_join(counts, lexicon, "word", broadcast_rows=broadcast_rows)
     means = hits.groupBy(key, "pos").agg(
         (F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("score")
