@@ -120,7 +120,7 @@ def tf_idf(
 
 
 MAX_VOCABULARY = 10_000_000
-WORDS_PER_TASK = 2_000_000
+WORDS_PER_TASK = 100_000
 
 
 def fit_word_vectors(
