@@ -13,6 +13,7 @@ TABLES = (
 
 TYPES = {
     "BIGINT": "bigint",
+    "BOOLEAN": "boolean",
     "INTEGER": "int",
     "DOUBLE": "double",
     "VARCHAR": "string",
