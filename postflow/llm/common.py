@@ -38,6 +38,20 @@ def text_id(text: Column) -> Column:
     )
 
 
+def join_null_safe(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner"
+) -> DataFrame:
+    """An equi-join in which null keys meet; the keys come from ``left``."""
+    renamed = right
+    match = F.lit(True)
+    for key in on:
+        renamed = renamed.withColumnRenamed(key, f"right {key}")
+    for key in on:
+        match = match & F.col(key).eqNullSafe(F.col(f"right {key}"))
+    joined = left.join(renamed, match, how)
+    return joined.drop(*[f"right {key}" for key in on])
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus``; null for null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -36,3 +36,26 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
   coalesce(n_hit, 0) > 0 as contaminated
 from doc left join hits using (r) left join items using (r)
 """
+
+# Prefixes as lists of turns.
+ORACLES["op6_chat_format"] = """
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as n,
+    struct_pack(r := role, t := text) as x,
+    length(regexp_replace(coalesce(role, ''), '<[|](im_start|im_end)[|]>', '<| \\1 |>', 'g'))
+      + length(regexp_replace(coalesce(text, ''), '<[|](im_start|im_end)[|]>', '<| \\1 |>', 'g'))
+      + length('<|im_start|>') + length('<|im_end|>') + 2 as chars
+  from conversations),
+prefix as (select conv_id, n, list(x) over (partition by conv_id order by n) as p from turns),
+conv as (select conv_id, max(n) as n_turns, sum(chars) as chars from turns group by conv_id),
+whole as (select c.*, p from conv c join prefix on c.conv_id is not distinct from prefix.conv_id and n = n_turns),
+kept as (
+  select min(conv_id) as conv_id, p from whole
+  where p not in (select p from prefix join conv on prefix.conv_id is not distinct from conv.conv_id where n < n_turns)
+  group by p),
+starts as (select p.p, min(k.conv_id) as kept_in from prefix p join kept k on p.conv_id is not distinct from k.conv_id group by p.p)
+select w.conv_id, w.n_turns, k.p is not null as kept,
+  case when k.p is not null then w.conv_id else s.kept_in end as kept_in,
+  case when k.p is not null then cast(w.chars as bigint) else 0 end as n_chars
+from whole w left join kept k on w.conv_id is not distinct from k.conv_id join starts s on s.p = w.p
+"""

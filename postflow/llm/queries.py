@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postflow.llm import decontaminate, line_dedup, minhash, mixing, quality_rules
+from postflow.llm import (
+    chat,
+    decontaminate,
+    language_id,
+    language_model,
+    licenses,
+    line_dedup,
+    minhash,
+    mixing,
+    quality_classifier,
+    quality_rules,
+)
+from postflow.llm.common import join_null_safe
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +40,11 @@ def op1_mix_sources(spark, sf_dir):
     return mixing.Mix(docs.select("doc_id", "text", "source")).report()
 
 
+@query
+def op2_class_ngram_score(spark, sf_dir):
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(
@@ -43,6 +60,32 @@ def op3_decontaminate(spark, sf_dir):
     )
 
 
+@query
+def op4_quality_classifier(spark, sf_dir):
+    return quality_classifier.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+@query
+def op5_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_chat_format(spark, sf_dir):
+    verdict, texts = chat.collapse(table(spark, sf_dir, "conversations"))
+    whole = texts.groupBy("conv_id").agg(F.sum(F.length("text")).alias("n_chars"))
+    return join_null_safe(verdict, whole, ["conv_id"], "left").select(
+        "conv_id", "n_turns", "kept", "kept_in", F.coalesce("n_chars", F.lit(0)).alias("n_chars")
+    )
+
+
+@query
+def op7_license_scan(spark, sf_dir):
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_line_dedup(spark, sf_dir):
     found = line_dedup.line_report(table(spark, sf_dir, "documents"))
