@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postflow.llm import tokens as K
-from postflow.llm.common import by_position, components, keep_table, small_batches, text_id
+from postflow.llm.common import by_position, components, join_null_safe, keep_table, small_batches, text_id
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
+BLOCK = 512
 STAR_MASKS = (0, 0x5A5A_3C3C_69D2_0F1E)
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -159,6 +160,102 @@ def _verify(batches, least: float):
             yield part.select(["a", "b"]).filter(kept)
 
 
+def _sorted_by_row(parts: list[tuple]) -> tuple:
+    row = np.concatenate([p[0] for p in parts])
+    order = np.argsort(row, kind="stable")
+    return row[order], *[np.concatenate([p[i] for p in parts])[order] for i in (1, 2)]
+
+
+def _common_mass(number: np.ndarray, row: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
+    """``[u, v]``: the weight in u of the shingles that u and v share; ``number`` is ascending."""
+    total = np.zeros((rows, rows), np.float32)
+    last = int(number[-1]) + 1 if len(number) else 0
+    for low in range(0, last, 4096):
+        a, b = np.searchsorted(number, [low, low + 4096])
+        heavy = np.zeros((rows, 4096), np.float32)
+        heavy[row[a:b], number[a:b] - low] = weight[a:b]
+        total += heavy @ (heavy > 0).astype(np.float32).T
+    return total
+
+
+def _forest(nodes, roots, row, shingle, weight, least: float) -> list[tuple[int, int]]:
+    """Links between documents of one cell, as many as join what is apart."""
+    rows = len(nodes)
+    _, number, count = np.unique(shingle, return_inverse=True, return_counts=True)
+    shared = count[number] > 1
+    _, number = np.unique(number[shared], return_inverse=True)
+    order = np.argsort(number, kind="stable")
+    p = _common_mass(number[order], row[shared][order], weight[shared][order], rows).astype(float)
+    q = p.T
+    # With common weights p and q the similarity is at most this; it is this for plain sets.
+    bound = np.triu(p * q / np.maximum(p + q - p * q, 1e-12), 1)
+    bound[roots[:, None] == roots[None, :]] = 0
+    u, v = np.nonzero(bound >= least - 1e-4)
+    first = K.first_of_rows(row, rows)
+    parent = {r: r for r in roots.tolist()}
+
+    def top(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    links = []
+    for i in np.argsort(-bound[u, v], kind="stable"):
+        a, b = top(int(roots[u[i]])), top(int(roots[v[i]]))
+        if a != b:
+            pair = [
+                (np.zeros(first[x + 1] - first[x], int), shingle[first[x] : first[x + 1]], weight[first[x] : first[x + 1]])
+                for x in (u[i], v[i])
+            ]
+            if similarities(*pair, 1)[0] >= least - 1e-9:
+                parent[a] = b
+                links.append(tuple(sorted((int(nodes[u[i]]), int(nodes[v[i]])))))
+    return links
+
+
+def _compare_cells(batches, least: float):
+    """Rows sorted by ``cell`` to the links of :func:`_forest`, cell by cell."""
+
+    def links(table: pa.Table):
+        cell = table["cell"].to_numpy()
+        nodes, roots = table["node"].to_numpy(), table["root"].to_numpy()
+        parts, base = [], 0
+        for batch in table.select(["text"]).combine_chunks().to_batches():
+            for rows, data, offsets in K.slices(iter([batch])):
+                row, shingle, weight = weights(data, offsets)
+                parts.append((row + base, shingle, weight))
+                base += rows.num_rows
+        row, shingle, weight = _sorted_by_row(parts)
+        begin = np.flatnonzero(np.diff(cell, prepend=cell[0] - 1))
+        for low, high in zip(begin, np.append(begin[1:], len(cell))):
+            a, b = np.searchsorted(row, [low, high])
+            yield from _forest(
+                nodes[low:high], roots[low:high], row[a:b] - low, shingle[a:b], weight[a:b], least
+            )
+
+    def batch_of(found: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
+        )
+
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        cell = batch.column(batch.schema.get_field_index("cell")).to_numpy()
+        # The last cell may go on in the next batch.
+        last = int(np.searchsorted(cell != cell[-1], False)) if cell[0] == cell[-1] else int(
+            np.flatnonzero(cell != cell[-1])[-1] + 1
+        )
+        begun = waiting and waiting[-1].column(0)[-1].as_py() != cell[0]
+        if last or begun:
+            yield batch_of(list(links(pa.Table.from_batches([*waiting, batch.slice(0, last)]))))
+            waiting = []
+        waiting.append(batch.slice(last))
+    if waiting:
+        yield batch_of(list(links(pa.Table.from_batches(waiting))))
+
+
 def signature_table(docs: DataFrame, bands: int = BANDS, each: int = ROWS) -> DataFrame:
     """``(doc_id, h, g, bands)``: text identity and band keys, a row for each document."""
     small_batches(docs.sparkSession)
@@ -169,7 +266,7 @@ def signature_table(docs: DataFrame, bands: int = BANDS, each: int = ROWS) -> Da
 
 
 def near_duplicates(
-    docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, each: int = ROWS
+    docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, each: int = ROWS, block: int = BLOCK
 ) -> DataFrame:
     """``(doc_id, h, g, root, class_id, copies)``: a row for each distinct (doc_id, text).
 
@@ -180,8 +277,10 @@ def near_duplicates(
     result.
 
     Candidates go in rounds. In a round each bucket compares its members with one of them only,
-    leaving out pairs that earlier rounds joined; what buckets still hold apart after the rounds
-    is then compared in full, so no pair of a bucket is left open.
+    leaving out what earlier rounds joined. What a bucket still holds apart is then compared in
+    cells of at most two blocks of ``block`` members, which give no more links than join them; so
+    no pair of a bucket is left open, and a large bucket makes neither its pairs into rows nor a
+    large task.
     """
     signed = keep_table(signature_table(docs, bands, each), "signatures")
     rows = signed.groupBy("doc_id", "h", "g").agg(F.count("*").alias("copies"))
@@ -213,27 +312,8 @@ def near_duplicates(
         )
         return keep_table(checked, "links")
 
-    links = tested = None
+    links = None
     labelled = members.withColumn("root", F.col("node"))
-
-    def relabelled() -> DataFrame:
-        roots = components(links)
-        found = members.join(roots, members["node"] == roots["node"], "left")
-        return found.select(members["node"], "key", F.coalesce("root", members["node"]).alias("root"))
-
-    def untested(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = pairs.distinct()
-        return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-
-    def add(pairs: DataFrame) -> None:
-        nonlocal links, tested, labelled
-        pairs = keep_table(untested(pairs), "pairs")
-        found = verified(pairs)
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labelled = keep_table(relabelled(), "labelled")
-
     for mask in STAR_MASKS:
         # Any order of the members will do to pick the one; each round has another.
         centre = labelled.groupBy("key").agg(
@@ -242,18 +322,35 @@ def near_duplicates(
             F.max("root").alias("hi"),
         )
         centre = centre.filter("lo < hi").select("key", "b")
-        add(labelled.join(centre, "key").filter("node != b").select(F.col("node").alias("a"), "b"))
-    apart = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    left = keep_table(labelled.join(apart.filter("lo < hi").select("key"), "key"), "apart")
-    other = left.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    add(
-        left.join(other, "key")
-        .filter("node < b and root != root_b")
-        .select(F.col("node").alias("a"), "b")
+        pairs = labelled.join(centre, "key").filter("node != b")
+        pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+        found = verified(pairs.distinct())
+        links = found if links is None else links.unionByName(found)
+        roots = components(links)
+        labelled = join_null_safe(members, roots, ["node"], "left").select(
+            "node", "key", F.coalesce("root", "node").alias("root")
+        )
+        labelled = keep_table(labelled, "labelled")
+
+    apart = labelled.groupBy("key").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")
+    )
+    # The two members of a bucket of two have met in the first round.
+    apart = apart.filter("lo < hi and n > 2")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    spread = labelled.join(apart.select("key", blocks.alias("blocks")), "key")
+    spread = spread.withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
+    cell = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    cells = spread.select(cell.alias("cell"), "node", "root").join(texts, "node")
+    cells = cells.select("cell", "node", "root", "text").repartition("cell").sortWithinPartitions("cell")
+    found = cells.mapInArrow(partial(_compare_cells, least=least), "a long, b long")
+    links = links.unionByName(keep_table(found, "links"))
 
     roots = components(links)
-    named = nodes.join(roots, "node", "left").select(
+    named = join_null_safe(nodes, roots, ["node"], "left").select(
         "h", "g", "rep", F.coalesce("root", "node").alias("root")
     )
     named = keep_table(named, "named")
