@@ -3,14 +3,17 @@
 Everything on the path is a DataFrame expression. Equal lines (after folding case and blanks)
 merge first. Lines within ``edits`` of each other are found by segment partition (Li et al.,
 "PASS-JOIN"): a line cut into ``edits + 1`` segments keeps one of them whole under that many
-edits, so each line files its own segments by length, number and content, and probes the
-segments of lines of its length or up to ``edits`` shorter, only at the positions that the
-multi-match-aware rule leaves. Pairs that meet are verified: first most of a finer cut must
-recur in place, then a banded bit-parallel edit distance decides.
+edits. One segment of many variants of a line is the same, so the cut is made again in what is
+left: of ``2 * (edits + 1)`` segments all but ``edits`` stay whole, and a key holds those. Each
+line files its keys with its length, and probes the keys of lines of its length or up to
+``edits`` shorter, only at the shifts that so many edits can cause. Pairs that meet are verified:
+first most of a finer cut must recur in place, then a banded bit-parallel edit distance decides.
 """
 
 from __future__ import annotations
 
+from itertools import combinations, product
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +27,10 @@ FINE_SEGMENTS = 8
 
 def folded(line: Column) -> Column:
     """Lower case, runs of blanks as one, none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[\s\x{A0}]+", " "))
+    lower = F.lower(line)
+    # Few lines have more than single blanks, and looking is cheaper than replacing.
+    uneven = lower.rlike(r"[\t\x0B\f\r\x{A0}]|  ")
+    return F.trim(F.when(uneven, F.regexp_replace(lower, r"[\s\x{A0}]+", " ")).otherwise(lower))
 
 
 def segment(length: Column, number: int, segments: int) -> tuple[Column, Column]:
@@ -35,28 +41,42 @@ def segment(length: Column, number: int, segments: int) -> tuple[Column, Column]
     return start.cast("int"), (size + F.when(number > short, 1).otherwise(0)).cast("int")
 
 
+def left_out(edits: int) -> list[tuple[int, ...]]:
+    """The sets of ``edits`` segments, of twice ``edits + 1``, that a key does without."""
+    return list(combinations(range(1, 2 * (edits + 1) + 1), edits))
+
+
+def _key(line: Column, length: Column, gone: tuple[int, ...], shifts: tuple[int, ...]) -> Column:
+    """Hash of the runs of segments between those left out, each run at its shift."""
+    segments = 2 * (len(gone) + 1)
+    parts = []
+    for run, (low, high) in enumerate(zip((0, *gone), (*gone, segments + 1))):
+        if low + 1 < high:
+            start, _ = segment(length, low + 1, segments)
+            last, size = segment(length, high - 1, segments)
+            parts.append(line.substr(start + shifts[run], last + size - start))
+    return F.xxhash64(length, F.lit("".join(map(str, gone))), *parts)
+
+
 def segment_keys(line: Column, edits: int) -> Column:
     """Keys under which ``line`` is found."""
-    n = F.length(line)
-    keys = []
-    for i in range(1, edits + 2):
-        start, size = segment(n, i, edits + 1)
-        keys.append(F.xxhash64(n, F.lit(i), line.substr(start, size)))
-    return F.array(*keys)
+    none = (0,) * (edits + 1)
+    return F.array(*[_key(line, F.length(line), gone, none) for gone in left_out(edits)])
 
 
 def probe_keys(line: Column, edits: int) -> Column:
-    """Keys of the segments that a line of equal length, or up to ``edits`` shorter, may share."""
-    n = F.length(line)
+    """Keys of the segments that a line of equal length, or up to ``edits`` shorter, may share.
+
+    The runs before the first and after the last edit lie at the line's ends, so their shifts are
+    0 and the difference in length; between them all shifts that ``edits`` can cause are asked.
+    """
     keys = []
     for less in range(edits + 1):
-        for i in range(1, edits + 2):
-            start, size = segment(n - less, i, edits + 1)
-            low = max(-(i - 1), less - (edits + 1 - i))
-            high = min(i - 1, less + (edits + 1 - i))
-            for shift in range(low, high + 1):
-                part = line.substr(start + shift, size)
-                keys.append(F.xxhash64((n - less).cast("int"), F.lit(i), part))
+        for gone in left_out(edits):
+            for inner in product(range(-edits, edits + 1), repeat=edits - 1):
+                shifts = (0, *inner, less)
+                if sum(abs(y - x) for x, y in zip(shifts, shifts[1:])) <= edits:
+                    keys.append(_key(line, (F.length(line) - less).cast("int"), gone, shifts))
     return F.array(*keys)
 
 
