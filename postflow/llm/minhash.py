@@ -22,7 +22,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 BLOCK = 512
-STAR_MASKS = (0, 0x5A5A_3C3C_69D2_0F1E)
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -276,11 +275,10 @@ def near_duplicates(
     documents all have a null id has a null ``class_id``; ``root`` numbers the class within this
     result.
 
-    Candidates go in rounds. In a round each bucket compares its members with one of them only,
-    leaving out what earlier rounds joined. What a bucket still holds apart is then compared in
-    cells of at most two blocks of ``block`` members, which give no more links than join them; so
-    no pair of a bucket is left open, and a large bucket makes neither its pairs into rows nor a
-    large task.
+    Each bucket first compares its members with one of them only. What a bucket still holds apart
+    is then compared in cells of at most two blocks of ``block`` members, which give no more
+    links than join them; so no pair of a bucket is left open, and a large bucket makes neither
+    its pairs into rows nor a large task.
     """
     signed = keep_table(signature_table(docs, bands, each), "signatures")
     rows = signed.groupBy("doc_id", "h", "g").agg(F.count("*").alias("copies"))
@@ -288,13 +286,14 @@ def near_duplicates(
     nodes = (
         signed.join(same, ["h", "g"])
         .filter(F.col("doc_id").eqNullSafe(F.col("rep")))
+        .dropDuplicates(["h", "g"])
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = keep_table(nodes.select("node", "h", "g", "rep", "bands"), "nodes")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = shared.filter("lo < hi").select("key")
-    members = keep_table(keyed.join(shared, "key").distinct(), "members")
+    members = keep_table(keyed.join(shared, "key"), "members")
 
     asked = members.select("node").distinct().join(nodes.drop("bands"), "node")
     texts = docs.select(text_id(F.col("text")).alias("i"), F.col("doc_id").alias("rep"), "text")
@@ -312,30 +311,25 @@ def near_duplicates(
         )
         return keep_table(checked, "links")
 
-    links = None
-    labelled = members.withColumn("root", F.col("node"))
-    for mask in STAR_MASKS:
-        # Any order of the members will do to pick the one; each round has another.
-        centre = labelled.groupBy("key").agg(
-            F.min(F.col("node").bitwiseXOR(F.lit(mask))).bitwiseXOR(F.lit(mask)).alias("b"),
-            F.min("root").alias("lo"),
-            F.max("root").alias("hi"),
-        )
-        centre = centre.filter("lo < hi").select("key", "b")
-        pairs = labelled.join(centre, "key").filter("node != b")
-        pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        found = verified(pairs.distinct())
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-        labelled = join_null_safe(members, roots, ["node"], "left").select(
-            "node", "key", F.coalesce("root", "node").alias("root")
-        )
-        labelled = keep_table(labelled, "labelled")
+    # Each bucket compares its members with one of them.
+    centre = members.groupBy("key").agg(F.min("node").alias("a"))
+    pairs = members.join(centre, "key").filter("node != a").select("a", F.col("node").alias("b"))
+    links = verified(pairs.distinct())
+
+    # Nodes with one label are linked, though not all linked nodes have one label yet: the
+    # smallest neighbour, and its own smallest neighbour.
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label"))
+    next_ = near.select(F.col("node").alias("label"), F.col("label").alias("next"))
+    near = near.join(next_, "label").select("node", F.least("label", "next").alias("label"))
+    labelled = members.join(near, "node", "left")
+    labelled = labelled.select("node", "key", F.coalesce("label", "node").alias("root"))
+    labelled = keep_table(labelled, "labelled")
 
     apart = labelled.groupBy("key").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")
     )
-    # The two members of a bucket of two have met in the first round.
+    # The two members of a bucket of two have met already.
     apart = apart.filter("lo < hi and n > 2")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
