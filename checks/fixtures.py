@@ -3,7 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession
 
 _FIELDS = """
- text || ' #' || source || case when doc_id % 3 = 0 then ' #Tag' || cast(doc_id % 7 as string) else '' end as text, lang,
+ text || case doc_id % 11 when 0 then ' Great.' || chr(13) || chr(10) || 'The end.' || chr(13) || chr(10)
+   when 1 then ' Fine stuff. https://t.co/ab' || cast(doc_id as string) || '.x of'
+   when 2 then ' Of 3.5 and v1.2, the end.' || chr(160)
+   when 3 then ' @bob don''t e-mail U.S. offices' when 4 then chr(9) || chr(9) || chr(13) || chr(10)
+   when 5 then '...' || chr(160) || '!' else '' end
+  || ' #' || source || case when doc_id % 3 = 0 then ' #Tag' || cast(doc_id % 7 as string) else '' end as text, lang,
  case when doc_id % 17 = 0 then null when doc_id % 17 = 1 then 'plain'
   else '<a href="http://example.com/' || source || '" rel="nofollow">' || case doc_id % 6
    when 0 then 'Twitter for iPhone' when 1 then 'Twitter for Android' when 2 then 'Twitter Web Client'
@@ -43,7 +48,10 @@ from documents
 
 # Fixed values of the checks.
 
-PHRASES = ("the than", "thin EA", "tag3", "src1 erhe", "der und", "BJP")
+PHRASES = (
+    "the than", "thin EA", "tag3", "src1 erhe", "der und", "BJP",
+    "#Tag5", "#the", "@bob", "e-mail", "U.S.", "don't", "#src2 una",
+)
 
 LEXICON = {
     "er": 0.0,
@@ -60,6 +68,11 @@ LEXICON = {
     "le": 4.0,
 }
 
+# As many words as a lexicon of its own may have, with many scores: no two words score alike often.
+LARGE_LEXICON = {f"word{i}": (i % 500) / 125 for i in range(25_000)} | {
+    word: (3 * i % 500) / 125 for i, word in enumerate(LEXICON)
+}
+
 VOCABULARY = (
     "er", "th", "nd", "re", "ed", "en", "ha", "es", "ea", "ti",
     "nt", "ing", "st", "ly", "ble", "ou", "wh", "sh", "thth", "tion",
@@ -68,6 +81,17 @@ VOCABULARY = (
 CURVE_GRID = (2, 4, 6, 8, 10)
 
 
+# Fixed times that cut the posts into three windows of arrival.
+ARRIVALS = ("2019-01-12 00:40:00", "2019-01-12 01:20:00")
+
+# Rows that share an id with another row.
+REPEATED = """select id, text from {posts}
+ union all select id, text || ' again the again' from {posts} where id % 10 = 0"""
+
+# Lines that are no JSON record.
+CORRUPT = """'{"id": ' || cast(doc_id as string) || ', "text": "cut of'"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

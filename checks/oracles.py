@@ -1,6 +1,18 @@
 """The same results in plain SQL, written for DuckDB and apart from the Spark code."""
 
-from checks.fixtures import CURVE_GRID, LEXICON, PHRASES, POSTS_DUCK, VOCABULARY
+import re
+
+from checks.fixtures import (
+    ARRIVALS,
+    CORRUPT,
+    CURVE_GRID,
+    LARGE_LEXICON,
+    LEXICON,
+    PHRASES,
+    POSTS_DUCK,
+    REPEATED,
+    VOCABULARY,
+)
 from checks.stop_words import ENGLISH
 
 SPACE = r"[ \t\n\x0B\f\r]"
@@ -44,55 +56,99 @@ PROJECT = f"""createdAt, favoriteCount, retweetCount, {SOURCE_NAME.format('sourc
 PLACE = "coalesce(place.name, 'Other')"
 SOURCE = SOURCE_NAME.format("source")
 
-WORDS = f"""{POSTS},
-words as (select id, {without_stop_words(TOKENS)} as ws from posts),
-tf as (select id, term, count(*) as tf from (select id, unnest(ws) as term from words)
- where term <> '' group by id, term),
+def words_from(posts: str) -> str:
+    """Words and weights by row (r), of posts whose ids may repeat."""
+    return f"""{POSTS},
+rows as (select row_number() over () as r, id, text from ({posts})),
+words as (select r, id, {without_stop_words(TOKENS)} as ws from rows),
+tf as (select r, id, term, count(*) as tf from (select r, id, unnest(ws) as term from words)
+ where term <> '' group by r, id, term),
 idf as (select term, count(*) as df,
- ln(((select count(*) from posts) + 1.0) / (count(*) + 1.0)) as idf from tf group by term)"""
+ ln(((select count(*) from rows) + 1.0) / (count(*) + 1.0)) as idf from tf group by term)"""
+
+
+WORDS = words_from("posts")
+ROWS = REPEATED.format(posts="posts")
+ROW_WORDS = words_from(ROWS)
 
 
 def tracked(phrases) -> str:
     tests = []
     for phrase in phrases:
-        has = [f"list_contains({TERMS.format('text')}, '{t}')" for t in phrase.lower().split()]
+        terms = re.findall(r"[#@]?\w+", phrase.lower())
+        has = [
+            f"list_contains(regexp_extract_all(lower(text), '[#@][\\p{{L}}\\p{{M}}\\p{{N}}_]+'), '{t}')"
+            if t[0] in "#@"
+            else f"list_contains({TERMS.format('text')}, '{t}')"
+            for t in terms
+        ]
         tests.append("(" + " and ".join(has) + ")")
     return " or ".join(tests)
 
 
-# No text holds a term of the default phrases but these are part of the query.
-DEFAULT_PHRASES = (
-    "Narendra Modi", "NarendraModi", "Rahul Gandhi", "RahulGandhi", "lok sabha elections",
-    "loksabha elections", "lok sabha", "loksabha", "election 2019 india", "Bharatiya Janta Party",
-    "BharatiyaJantaParty", "BJP", "Indian National Congress", "INC", "IndianNationalCongress",
-    "Congress india",
+TRACKED = f"({tracked(PHRASES)})"
+
+WHITE = (
+    r" \t\n\x0B\f\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
-TRACKED = f"({tracked(DEFAULT_PHRASES + PHRASES)})"
 
-LEXICON_ROWS = ", ".join(f"('{word}', {score}::double)" for word, score in LEXICON.items())
-SENTENCES = f"""{POSTS},
-split as (select id, list_filter(list_transform(string_split_regex(text, '[.!?\\n]+'),
- lambda x: trim(x, ' ')), lambda x: x <> '') as parts from posts),
-sentences as (select id, unnest(range(len(parts)))::integer as pos, unnest(parts) as sentence
+
+def sentences_from(posts: str) -> str:
+    """Sentences by row (r): links go, then dots before white space become line ends."""
+    return f"""{POSTS},
+split as (select r, id, list_filter(list_transform(string_split_regex(regexp_replace(
+ regexp_replace(text, '(?i)https?://[^{WHITE}]+', ' ', 'g'), '\\.+([{WHITE}]|\\z)', chr(10) || '\\1', 'g'),
+ '[!?\\r\\n]+'), lambda x: regexp_replace(x, '^[{WHITE}]+|[{WHITE}]+\\z', '', 'g')),
+ lambda x: regexp_matches(x, '[\\p{{L}}\\p{{N}}]')) as parts
+ from (select row_number() over () as r, id, text from ({posts}))),
+sentences as (select r, id, unnest(range(len(parts)))::integer as pos, unnest(parts) as sentence
  from split)"""
 
 
-def scores(lexicon: str) -> str:
-    return f"""{SENTENCES},
+SENTENCES = sentences_from("posts")
+
+
+def scores(lexicon: str, posts: str = "posts") -> str:
+    return f"""{sentences_from(posts)},
 lexicon as ({lexicon}),
-hits as (select id, pos, avg(score) as score
- from (select id, pos, unnest({TERMS.format('sentence')}) as word from sentences)
- join lexicon using (word) group by id, pos),
-scored as (select s.id, s.pos, coalesce(h.score, 2.0) as score, length(sentence)::integer as len
- from sentences s left join hits h on s.id = h.id and s.pos = h.pos)"""
+hits as (select r, pos, avg(score) as score
+ from (select r, pos, unnest({TERMS.format('sentence')}) as word from sentences)
+ join lexicon using (word) group by r, pos),
+scored as (select s.r, s.id, s.pos, coalesce(h.score, 2.0) as score, length(sentence)::integer as len
+ from sentences s left join hits h on s.r = h.r and s.pos = h.pos)"""
+
+
+def listed(lexicon) -> str:
+    rows = ", ".join(f"('{word}', {score}::double)" for word, score in lexicon.items())
+    return f"select * from (values {rows}) v(word, score)"
 
 
-SCORED = scores(f"select * from (values {LEXICON_ROWS}) v(word, score)")
-BY_LENGTH = scores(
-    "select word, (length(word) % 5)::double as score from (select distinct"
-    f" unnest({TERMS.format('text')}) as word from posts) where word <> ''"
+SCORED = scores(listed(LEXICON))
+LARGE = scores(
+    "select 'word' || i as word, (i % 500) / 125.0::double as score from range(25000) t(i) union all "
+    + listed({word: LARGE_LEXICON[word] for word in LEXICON})
 )
-SENTIMENT = f"""{SCORED},
+LENGTHS = f"""select word, (length(word) % 5)::double as score from (select distinct
+ unnest({TERMS.format('text')}) as word from ({ROWS})) where word <> ''"""
+BY_LENGTH = scores(LENGTHS, ROWS)
+BY_SCORER = f"""{sentences_from(ROWS)},
+scored as (select r, id, pos, (length(sentence) % 5)::double as score, length(sentence)::integer as len
+ from sentences)"""
+
+
+def totals(scored: str) -> str:
+    """Scores by row, for rows with a sentence."""
+    return f"""{scored},
+rated as (select t.id, coalesce(score, -1.0) as score, coalesce(mean_score, -1.0) as mean_score,
+ coalesce(main_score, -1.0) as main_score from split t left join
+ (select r, sum(score * len order by pos) / sum(len) as score, avg(score) as mean_score,
+ arg_max(score, len::bigint * 1000000000 - pos) as main_score from scored group by r) using (r))
+select id, round(score, 6) as score, round(mean_score, 6) as mean_score,
+ round(main_score, 6) as main_score from rated"""
+
+
+def sentiment_from(scored: str) -> str:
+    return f"""{scored},
 totals as (select id, sum(score * len order by pos) / sum(len) as score, avg(score) as mean_score,
  arg_max(score, len::bigint * 1000000000 - pos) as main_score from scored group by id),
 rated as (select p.id, p.text, coalesce(score, -1.0) as score, coalesce(mean_score, -1.0) as mean_score,
@@ -104,6 +160,9 @@ labelled as (select *, case sentiment when 'VERY_NEGATIVE' then 0 when 'NEGATIVE
  when 'NEUTRAL' then 2 when 'POSITIVE' then 3 when 'VERY_POSITIVE' then 4 else 5 end as label
  from classed)"""
 
+
+SENTIMENT = sentiment_from(SCORED)
+
 PART = "case when ('0x' || substr(md5(id || '-1234'), 1, 8))::bigint % 1000 < 700 then 'train' else 'test' end"
 VOCABULARY_ROWS = ", ".join(f"({i}, '{word}')" for i, word in enumerate(VOCABULARY))
 BAYES = f"""{SENTIMENT},
@@ -197,9 +256,10 @@ kept as (select distinct createdAt, retweetCount, source, id, userLang, text fro
 select *, {bar(HASHTAGS)} as hashtags, {bar(TOKENS)} as words,
  {bar(without_stop_words(TOKENS))} as filtered_words from kept"""
 
-CLASSIFIED = f"""{BUCKETS}{SENTIMENT.removeprefix(POSTS)},
-parted as (select id, label, {PART} as part from labelled
- where id in (select id from posts where {KEPT})),
+def classified(kept: str, sentiment: str = SENTIMENT) -> str:
+    """The whole classification of the posts whose ids ``kept`` selects."""
+    return f"""{BUCKETS}{sentiment.removeprefix(POSTS)},
+parted as (select id, label, {PART} as part from labelled where id in ({kept})),
 every as (select unnest(range(20))::integer as bucket),
 train as (select id, label from parted where part = 'train'),
 weights as (select bucket, ln(((select count(*) from train) + 1.0) / (count(c.id) + 1.0)) as w
@@ -215,10 +275,35 @@ model as (select label, ln(docs + 1.0) - ln((select sum(docs) + count(*) from cl
  from sums join classes using (label)),
 posterior as (select t.id, m.label, any_value(m.prior) + sum(m.weight * coalesce(f.x, 0.0)) as p
  from parted t cross join model m left join features f on f.id = t.id and f.bucket = m.bucket
- where t.part = 'test' group by t.id, m.label)"""
+ where t.part = 'test' group by t.id, m.label)
+select id, label as prediction_bayes from
+ (select id, label, row_number() over (partition by id order by round(p, 9) desc, label) as place
+ from posterior) where place = 1"""
+
+
+KEPT_IDS = f"select id from posts where {KEPT}"
+LIVE_IDS = f"""select id from (select id, createdAt, lang, {SOURCE} as source from posts)
+ where lang = 'en' and source is not null and {DEVICE_TEST} and {{0}}"""
+WINDOWS = (
+    f"createdAt < '{ARRIVALS[0]}'",
+    f"createdAt >= '{ARRIVALS[0]}' and createdAt < '{ARRIVALS[1]}'",
+    f"createdAt >= '{ARRIVALS[1]}'",
+)
+LIVE_CLASSIFIED = " union all ".join(
+    f"select {i}::integer as batch_id, * from ({classified(LIVE_IDS.format(window))})"
+    for i, window in enumerate(WINDOWS)
+)
+BY_TABLE_CLASSIFIED = classified(KEPT_IDS, sentiment_from(scores(LENGTHS)))
+CLOSED = """select date_trunc('hour', ts) as window_start,
+ date_trunc('hour', ts) + interval 1 hour as window_end, event_type, count(*) as count
+ from events, (select max(ts) - interval 12 day as mark from events
+  where ts >= '2024-01-10' and ts < '2024-01-20')
+ where not (event_id % 10 = 0 and ts < '2024-01-10')
+  or mark is null or date_trunc('hour', ts) + interval 1 hour > mark group by all"""
 
 ORACLES = {
-    "read_posts_json": f"{POSTS} select {FLAT} from posts",
+    "read_posts_json": f"""{POSTS} select {FLAT}, null as corrupt from posts union all
+ select {", ".join(["null"] * 14)}, {CORRUPT} from documents where doc_id % 20 = 0""",
     "read_time_slice": f"""{POSTS} select id, createdAt, text, year(createdAt)::integer as year,
  month(createdAt)::integer as month, day(createdAt)::integer as day, hour(createdAt)::integer as hour
  from posts where hour(createdAt) = 1""",
@@ -229,6 +314,13 @@ ORACLES = {
     "sink_by_time": f"""{POSTS} select year(createdAt)::integer as year, month(createdAt)::integer as month,
  day(createdAt)::integer as day, hour(createdAt)::integer as hour, count(*) as posts,
  sum(length(text))::bigint as chars from posts group by all""",
+    "files_per_batch": f"""{POSTS} select (case when {WINDOWS[0]} then 0 when {WINDOWS[1]} then 1 else 2 end)::bigint
+ as batch_id, 3::bigint as files, count(*) as posts from posts group by 1""",
+    "trigger_interval": f"""{POSTS} select hour(createdAt)::integer as hour, count(*) as posts
+ from posts group by 1""",
+    "skip_empty_window": f"""{POSTS} select count(*) as posts, max(id) as last from posts
+ group by {WINDOWS[0]}""",
+    "restart_collect": f"{POSTS} select id, 1::bigint as copies from posts",
     "write_stage": f"""{SENTIMENT} select id, text, {bar(HASHTAGS)} as hashtags, sentiment, label
  from labelled""",
     "filter_lang": f"{POSTS} select {FLAT} from posts where lang = 'en'",
@@ -238,7 +330,9 @@ ORACLES = {
  where retweetedStatus."user".followersCount > 100""",
     "filter_devices": f"{POSTS} select {FLAT} from posts where {DEVICE_TEST}",
     "source_name": f"{POSTS} select id, source, {SOURCE} as sourceName from posts",
-    "source_name_pages": f"select page_id, {SOURCE_NAME.format('html')} as sourceName from pages",
+    "source_name_pages": f"""select page_id, pos, {SOURCE_NAME.format('anchor')} as sourceName from
+ (select page_id, unnest(range(len(anchors)))::integer as pos, unnest(anchors) as anchor from
+ (select page_id, regexp_extract_all(html, '<a [^>]*>[^<]*</a>') as anchors from pages))""",
     "place_name": f"{POSTS} select id, {PLACE} as place from posts",
     "project_posts": f"""{POSTS} select {PROJECT.format('"user".location')} from posts""",
     "project_posts_live": f"""{POSTS} select createdAt, retweetCount, {SOURCE} as source, id,
@@ -252,33 +346,44 @@ ORACLES = {
     "dedup_texts": "select distinct text, lang from documents",
     "device_distribution": f"""{POSTS} select {SOURCE} as sourceName, count(*) as count from posts
  group by 1 order by count desc, sourceName limit 15""",
-    "parse_created_at": f"{POSTS} select id, createdAt as collected, createdAt as live from posts",
+    "parse_created_at": f"""{POSTS} select id, createdAt as collected, createdAt as live,
+ createdAt as comma, createdAt as narrow, case when id % 2 = 0 then createdAt end as mixed,
+ case when id % 2 = 1 then 'day ' || id end as mixedText from posts""",
     "hashtags": f"{POSTS} select id, {bar(HASHTAGS)} as hashtags from posts",
     "tokenize": f"{POSTS} select id, {bar(TOKENS)} as words from posts",
     "tokenize_pattern": f"""{POSTS} select id, {bar("list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda w: length(w) >= 3)")} as words
  from posts""",
     "remove_stop_words": f"{POSTS} select id, {bar(without_stop_words(TOKENS))} as filtered_words from posts",
-    "average_word_vectors": f"""{WORDS},
+    "doc_vectors": f"""{WORDS} select id, len(ws)::integer as words,
+ (select count(distinct term) from (select unnest(ws) as term from words)) as vocabulary,
+ 0.0::double as gap from words""",
+    "average_word_vectors": f"""{ROW_WORDS},
 vectors as (select term, length(term)::double as v0, df::double as v1, idf as v2 from idf
  where length(term) > 2),
-occurrences as (select id, unnest(ws) as term from words),
-sums as (select id, sum(v0) as v0, sum(v1) as v1, sum(v2) as v2 from occurrences
- join vectors using (term) group by id)
+occurrences as (select r, unnest(ws) as term from words),
+sums as (select r, sum(v0) as v0, sum(v1) as v1, sum(v2) as v2 from occurrences
+ join vectors using (term) group by r)
 select w.id, {", ".join(f"round(coalesce(s.v{i}, 0.0) / greatest(len(ws), 1), 6) as v{i}" for i in range(3))}
- from words w left join sums s on s.id = w.id""",
+ from words w left join sums s on s.r = w.r""",
     "hashing_tf": f"""{BUCKETS} select w.id, string_agg(coalesce(n, 0)::varchar || '.0', ',' order by b.bucket) as rawFeatures
  from words w cross join (select unnest(range(20))::integer as bucket) b
  left join bucket_counts c on c.id = w.id and c.bucket = b.bucket group by w.id""",
-    "idf_weights": f"{WORDS} select term, df, round(idf, 6) as idf from idf",
-    "tf_idf": f"{WORDS} select id, term, round(tf * idf, 6) as tf_idf from tf join idf using (term)",
+    "idf_weights": f"{ROW_WORDS} select term, df, round(idf, 6) as idf from idf",
+    "tf_idf": f"{ROW_WORDS} select id, term, round(tf * idf, 6) as tf_idf from tf join idf using (term)",
     "split_train_test": f"{POSTS} select id, {PART} as part from posts",
     "wssse": f"""{NEAREST} select (select count(*) from centres)::integer as k, round(sum(d), 6) as wssse
  from nearest""",
+    "kmeans_grid": """select unnest([20, 30, 40, 50, 60, 70, 80, 90, 100, 120, 140, 300])::integer as k,
+ (select count(*) from embeddings) as points, 0.0::double as gap""",
+    "cluster_centres": """select 10::bigint as clusters, count(*) as points, 0.0::double as gap
+ from embeddings""",
     "elbow_k": f"""{CENTRES},
-ranked as (select cid, row_number() over (order by cid) as r from centres),
 grid as (select * from (values {CURVE_ROWS}) v(k)),
-curve as (select k, sum(d) as wssse from (select k, vec_id, min(d) as d from distances
- join ranked using (cid) join grid on r <= k group by k, vec_id) group by k),
+set_parts as (select k, label % k as cid, i, avg(x) as x from parts, grid group by k, label % k, i),
+sets as (select k, cid, list(x order by i) as c from set_parts group by k, cid),
+curve as (select k, sum(d) as wssse from (select k, vec_id, min(list_sum(list_transform(
+ range(1, len(c) + 1), lambda i: (embedding[i]::double - c[i]) * (embedding[i]::double - c[i])))) as d
+ from embeddings cross join sets group by k, vec_id) group by k),
 slopes as (select k, (wssse - lag(wssse) over (order by k)) / (k - lag(k) over (order by k)) as slope
  from curve)
 select coalesce(max(case when slope < -3 then k end), min(k))::integer as elbow_k from slopes""",
@@ -289,6 +394,11 @@ select coalesce(max(case when slope < -3 then k end), min(k))::integer as elbow_
     "sentence_scores": f"{SCORED} select id, pos, round(score, 6) as score, len as length from scored",
     "sentence_scores_by_table": f"""{BY_LENGTH} select id, pos, round(score, 6) as score, len as length
  from scored""",
+    "sentence_scores_by_joined_table": f"""{BY_LENGTH} select id, pos, round(score, 6) as score,
+ len as length from scored""",
+    "post_sentiment_large_lexicon": totals(LARGE),
+    "post_sentiment_by_table": totals(BY_LENGTH),
+    "post_sentiment_by_scorer": totals(BY_SCORER),
     "post_sentiment": f"""{SENTIMENT} select id, round(score, 6) as score,
  round(mean_score, 6) as mean_score, round(main_score, 6) as main_score from rated""",
     "sentiment_class": f"{SENTIMENT} select id, sentiment from classed",
@@ -298,11 +408,13 @@ select coalesce(max(case when slope < -3 then k end), min(k))::integer as elbow_
     "bayes_predict": f"{BAYES} select id, label, prediction_bayes from predicted",
     "confusion_counts": f"""{BAYES} select label, prediction_bayes as prediction, count(*) as count
  from predicted group by all""",
-    "window_counts": WINDOW_COUNTS,
+    "window_counts": CLOSED,
     "batch_window_counts": WINDOW_COUNTS,
     "live_curate": LIVE,
     "curate_posts": CURATED,
-    "classify_posts": f"""{CLASSIFIED} select id, label as prediction_bayes from
- (select id, label, row_number() over (partition by id order by round(p, 9) desc, label) as place
- from posterior) where place = 1""",
+    "classify_posts": classified(KEPT_IDS),
+    "classify_posts_by_table": BY_TABLE_CLASSIFIED,
+    "live_analyze": LIVE_CLASSIFIED,
+    "cluster_posts": f"""{POSTS} select id, 0.0::double as gap from posts
+ where {KEPT} and {PART} = 'test'""",
 }

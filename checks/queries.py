@@ -6,7 +6,18 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import CURVE_GRID, LEXICON, PHRASES, VOCABULARY, posts, table
+from checks.fixtures import (
+    ARRIVALS,
+    CORRUPT,
+    CURVE_GRID,
+    LARGE_LEXICON,
+    LEXICON,
+    PHRASES,
+    REPEATED,
+    VOCABULARY,
+    posts,
+    table,
+)
 from postflow.functions import posts as P
 from postflow.functions import text as X
 from postflow.operators import classify as B
@@ -24,7 +35,7 @@ from postflow.sources import readers, writers
 from postflow.sources.storage import shared_dir, store
 from postflow.streaming import jobs
 from postflow.streaming.windows import window_counts
-from postflow.values import POST_SCHEMA, TRACK_PHRASES
+from postflow.values import POST_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,9 +59,10 @@ def joined(*names: str) -> list:
     return [F.array_join(name, "|").alias(name) for name in names]
 
 
-def flat_posts(df: DataFrame) -> DataFrame:
+def flat_posts(df: DataFrame, *more: str) -> DataFrame:
     """Posts without nesting."""
     return df.select(
+        *more,
         "id",
         "createdAt",
         "text",
@@ -72,19 +84,33 @@ def words_of(df: DataFrame) -> DataFrame:
     return df.transform(W.tokenize).transform(W.remove_stop_words, lowered=True)
 
 
-def arrived(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """Posts as JSON files of ascending time, and how many files make a third of them."""
-    path = shared_dir(spark, "arrived")
-    files = max(3, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    df = posts(spark, sf_dir).repartitionByRange(files, "createdAt")
-    writers.collected_record(df).write.json(path)
-    return path, -(-files // 3)
+def repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of which some share an id."""
+    return spark.sql(REPEATED.format(posts="{posts}"), posts=posts(spark, sf_dir))
+
 
+def slices_of(df: DataFrame, ts: str, borders) -> list[DataFrame]:
+    """Rows before, between and after fixed times."""
+    when = F.col(ts)
+    times = [F.lit(b).cast("timestamp") for b in borders]
+    low = [None, *times]
+    high = [*times, None]
+    return [
+        df.filter((F.lit(True) if a is None else when >= a) & (F.lit(True) if b is None else when < b))
+        for a, b in zip(low, high)
+    ]
 
-def arriving(spark: SparkSession, sf_dir: str, phrases=None) -> DataFrame:
-    """The same as a stream of three windows."""
-    path, third = arrived(spark, sf_dir)
-    return readers.stream_posts(spark, path, phrases, files_per_batch=third)
+
+def arriving(spark: SparkSession, sf_dir: str, start: Callable, phrases=None, slices=None) -> str:
+    """Feed posts in three windows cut at fixed times: ``start(stream)`` works off each in turn.
+
+    The job starts again for every window, so it goes on from its checkpoint each time.
+    """
+    path = shared_dir(spark, "arrived")
+    for part in slices or slices_of(posts(spark, sf_dir), "createdAt", ARRIVALS):
+        writers.collected_record(part).write.mode("append").json(path)
+        start(readers.stream_posts(spark, path, phrases)).awaitTermination()
+    return path
 
 
 # Sources and sinks
@@ -92,9 +118,13 @@ def arriving(spark: SparkSession, sf_dir: str, phrases=None) -> DataFrame:
 
 @query
 def read_posts_json(spark, sf_dir):
+    """Posts, and lines that are no record."""
     path = shared_dir(spark, "json")
     writers.write_stage(writers.collected_record(posts(spark, sf_dir)), path)
-    return flat_posts(readers.read_posts_json(spark, path))
+    lines = table(spark, sf_dir, "documents").filter("doc_id % 20 = 0")
+    lines.select(F.expr(CORRUPT).alias("value")).write.mode("append").text(path)
+    read = flat_posts(readers.read_posts_json(spark, path), readers.CORRUPT)
+    return read.withColumnRenamed(readers.CORRUPT, "corrupt")
 
 
 @query
@@ -108,21 +138,22 @@ def read_time_slice(spark, sf_dir):
 
 @query
 def stream_posts(spark, sf_dir):
-    stream = arriving(spark, sf_dir, TRACK_PHRASES + PHRASES)
-    out = shared_dir(spark, "tracked")
-    (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", shared_dir(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start(out)
-        .awaitTermination()
-    )
-    return spark.read.schema(stream.schema).parquet(out).select("id", "createdAt", "text")
+    out, checkpoint = shared_dir(spark, "tracked"), shared_dir(spark, "checkpoint")
+    schema = None
+
+    def start(stream):
+        nonlocal schema
+        schema = stream.schema
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        return writer.trigger(availableNow=True).start(out)
+
+    arriving(spark, sf_dir, start, PHRASES)
+    return spark.read.schema(schema).parquet(out).select("id", "createdAt", "text")
 
 
 @query
 def track_filter(spark, sf_dir):
-    tracked = W.track_filter(posts(spark, sf_dir), TRACK_PHRASES + PHRASES)
+    tracked = W.track_filter(posts(spark, sf_dir), PHRASES)
     return tracked.select("id", "text")
 
 
@@ -132,19 +163,88 @@ def posts_to_json(spark, sf_dir):
     return flat_posts(text.select(F.from_json("json", POST_SCHEMA).alias("p")).select("p.*"))
 
 
+def collected(spark, sf_dir, grain="hour", files=None, interval=None, slices=None) -> str:
+    """The folder that the collecting job writes."""
+    out, checkpoint = shared_dir(spark, "slices"), shared_dir(spark, "checkpoint")
+
+    class Done:
+        def __init__(self, job):
+            self.job = job
+
+        def awaitTermination(self):
+            if interval is None:
+                return self.job.awaitTermination()
+            try:
+                self.job.processAllAvailable()
+            finally:
+                self.job.stop()
+
+    def start(stream):
+        return Done(jobs.collect_posts(stream, out, checkpoint, interval, grain, files))
+
+    arriving(spark, sf_dir, start, slices=slices)
+    return out
+
+
 @query
 def sink_by_time(spark, sf_dir):
-    stream = arriving(spark, sf_dir)
-    out = shared_dir(spark, "slices")
-    jobs.collect_posts(
-        stream, out, shared_dir(spark, "checkpoint"), None, "hour"
-    ).awaitTermination()
-    slices = readers.read_time_slice(spark, out, "hour")
+    slices = readers.read_time_slice(spark, collected(spark, sf_dir), "hour")
     return slices.groupBy("year", "month", "day", "hour").agg(
         F.count("*").alias("posts"), F.sum(F.length("text")).alias("chars")
     )
 
 
+@query
+def files_per_batch(spark, sf_dir):
+    """The tasks that wrote each window, and its posts."""
+    out = collected(spark, sf_dir, files=3)
+    task = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)
+    rows = readers.read_time_slice(spark, out, "hour").withColumn("task", task)
+    return rows.groupBy("batch_id").agg(
+        F.count_distinct("task").alias("files"), F.count("*").alias("posts")
+    )
+
+
+@query
+def trigger_interval(spark, sf_dir):
+    """The same slices, by a job that wakes up at an interval."""
+    out = collected(spark, sf_dir, interval="1 second")
+    return readers.read_time_slice(spark, out, "hour").groupBy("hour").agg(
+        F.count("*").alias("posts")
+    )
+
+
+@query
+def skip_empty_window(spark, sf_dir):
+    """Of three windows the middle one is empty; the job works on two."""
+    out, checkpoint = shared_dir(spark, "windows"), shared_dir(spark, "checkpoint")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.agg(F.count("*").alias("posts"), F.max("id").alias("last")).write.mode(
+            "append"
+        ).parquet(out)
+
+    first, empty, last = slices_of(posts(spark, sf_dir), "createdAt", (ARRIVALS[0], ARRIVALS[0]))
+    arriving(
+        spark,
+        sf_dir,
+        lambda stream: jobs.run_batches(stream, each, checkpoint, None),
+        slices=[first, empty, last],
+    )
+    return spark.read.parquet(out)
+
+
+@query
+def restart_collect(spark, sf_dir):
+    """A job that starts again, also with nothing new, writes each post once."""
+    none = posts(spark, sf_dir).limit(0)
+    first, second, third = slices_of(posts(spark, sf_dir), "createdAt", ARRIVALS)
+    out = collected(spark, sf_dir, "minute", slices=[first, none, second, third, none])
+    return readers.read_time_slice(spark, out, "minute").groupBy("id").agg(
+        F.count("*").alias("copies")
+    )
+
+
 @query
 def write_stage(spark, sf_dir):
     path = shared_dir(spark, "stage")
@@ -190,9 +290,12 @@ def source_name(spark, sf_dir):
 
 @query
 def source_name_pages(spark, sf_dir):
-    """The same over whole HTML pages, which hold every shape of tag."""
-    pages = table(spark, sf_dir, "pages")
-    return pages.select("page_id", P.source_name(F.col("html")).alias("sourceName"))
+    """The same over every anchor of whole HTML pages."""
+    anchors = F.regexp_extract_all("html", F.lit("<a [^>]*>[^<]*</a>"), F.lit(0))
+    found = table(spark, sf_dir, "pages").select(
+        "page_id", F.posexplode(anchors).alias("pos", "anchor")
+    )
+    return found.select("page_id", "pos", P.source_name(F.col("anchor")).alias("sourceName"))
 
 
 @query
@@ -242,12 +345,23 @@ def device_distribution(spark, sf_dir):
 
 @query
 def parse_created_at(spark, sf_dir):
+    """Both forms of a date, the newer ones, and what is no date."""
+    plain = P.collected_date(F.col("createdAt"))
+    comma = F.regexp_replace(plain, "(2019)", "$1,")
     texts = posts(spark, sf_dir).select(
         "id",
-        P.collected_date(F.col("createdAt")).alias("collected"),
+        plain.alias("collected"),
         F.date_format("createdAt", "EEE MMM dd HH:mm:ss zzz yyyy").alias("live"),
+        comma.alias("comma"),
+        F.regexp_replace(comma, " (AM|PM)", "\u202f$1").alias("narrow"),
+        F.when(F.col("id") % 2 == 0, plain)
+        .otherwise(F.concat(F.lit("day "), F.col("id").cast("string")))
+        .alias("mixed"),
     )
-    return texts.transform(C.parse_created_at, "collected").transform(C.parse_created_at, "live")
+    names = ("collected", "live", "comma", "narrow", "mixed")
+    for name in names:
+        texts = texts.transform(C.parse_created_at, name)
+    return texts.select("id", *names, "mixedText")
 
 
 # Text
@@ -274,18 +388,37 @@ def remove_stop_words(spark, sf_dir):
     return words_of(posts(spark, sf_dir)).select("id", *joined("filtered_words"))
 
 
+def max_gap(a: str, b: str):
+    """The largest difference of two vectors."""
+    return F.array_max(F.zip_with(a, b, lambda x, y: F.abs(x - y)))
+
+
 @query
 def doc_vectors(spark, sf_dir):
-    words = curate_posts(posts(spark, sf_dir)).select("id", "filtered_words")
+    """The model's vectors against the mean of the model's word vectors, taken apart from it."""
+    words = store(
+        words_of(posts(spark, sf_dir)).select("id", "filtered_words"), shared_dir(spark, "words")
+    )
     model = W.fit_word_vectors(words)
-    vectors = model.transform(words)
-    return vectors.select("id", F.array_join(vector_to_array("features"), ",").alias("features"))
+    theirs = model.transform(words).select(
+        "id", F.size("filtered_words").alias("words"), vector_to_array("features").alias("theirs")
+    )
+    table_ = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    stored = store(table_, shared_dir(spark, "vectors"))
+    ours = W.average_word_vectors(words, stored, len(model.getVectors().first()["vector"]))
+    vocabulary = stored.agg(F.count_distinct("word"))
+    return theirs.join(ours, "id").select(
+        "id",
+        "words",
+        vocabulary.scalar().alias("vocabulary"),
+        F.round(max_gap("theirs", "vector"), 6).alias("gap"),
+    )
 
 
 @query
 def average_word_vectors(spark, sf_dir):
     """Averaging over a table of word vectors that SQL can make too."""
-    words = words_of(posts(spark, sf_dir)).select("id", "filtered_words")
+    words = words_of(repeated(spark, sf_dir)).select("id", "filtered_words")
     known = W.idf_weights(words).filter(F.length("term") > 2)
     vectors = known.select(
         F.col("term").alias("word"),
@@ -306,13 +439,13 @@ def hashing_tf(spark, sf_dir):
 
 @query
 def idf_weights(spark, sf_dir):
-    weights = W.idf_weights(words_of(posts(spark, sf_dir)))
+    weights = W.idf_weights(words_of(repeated(spark, sf_dir)))
     return weights.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query
 def tf_idf(spark, sf_dir):
-    words = words_of(posts(spark, sf_dir)).select("id", "filtered_words")
+    words = words_of(repeated(spark, sf_dir)).select("id", "filtered_words")
     counts = store(W.term_counts(words), shared_dir(spark, "counts"))
     weights = store(W.idf_weights(words, counts=counts), shared_dir(spark, "idf"))
     return W.tf_idf(counts, weights).select("id", "term", F.round("tf_idf", 6).alias("tf_idf"))
@@ -327,10 +460,6 @@ def vectors(spark, sf_dir):
     )
 
 
-def label_centres(df):
-    return K.centres_of(df, "label", "features")
-
-
 @query
 def split_train_test(spark, sf_dir):
     return K.with_part(posts(spark, sf_dir)).select("id", "part")
@@ -338,53 +467,75 @@ def split_train_test(spark, sf_dir):
 
 @query
 def kmeans_grid(spark, sf_dir):
+    """For each k the rows assigned, and how far the cost lies from what the fit reported."""
     points = vectors(spark, sf_dir)
-    return K.wssse(points, K.kmeans_grid(points))
+    models = K.kmeans_grid(points)
+    reported = spark.createDataFrame(
+        [(k, model.summary.trainingCost) for k, model in models.items()], "k int, reported double"
+    )
+    assigned = points
+    for k, model in models.items():
+        assigned = K.assign_clusters(assigned, model, f"c{k}")
+    rows = [F.struct(F.lit(k).alias("k"), F.col(f"c{k}").alias("c")) for k in models]
+    counted = assigned.select(F.explode(F.array(*rows)).alias("a")).groupBy("a.k").agg(
+        F.count("a.c").alias("points")
+    )
+    costs = K.wssse(points, models).join(reported, "k").join(counted, "k")
+    gap = F.abs(F.col("wssse") - F.col("reported")) / F.col("reported")
+    return costs.select("k", "points", F.round(gap, 2).alias("gap"))
 
 
 @query
 def wssse(spark, sf_dir):
     points = vectors(spark, sf_dir)
-    centres = label_centres(points)
-    cost = K.wssse(points, {len(centres): K.model_of(spark, centres)})
+    centres = K.centres_of(points, "label")
+    cost = K.wssse_of(points, centres.withColumn("k", F.lit(10)))
     return cost.select("k", F.round("wssse", 6).alias("wssse"))
 
 
 @query
 def elbow_k(spark, sf_dir):
+    """A curve over centre sets: the means of the labels modulo k."""
     points = vectors(spark, sf_dir)
-    centres = label_centres(points)
-    curve = K.wssse(points, {k: K.model_of(spark, centres[:k]) for k in CURVE_GRID})
-    return K.elbow(curve)
+    sets = None
+    for k in CURVE_GRID:
+        own = K.centres_of(points.withColumn("part", F.col("label") % k), "part")
+        own = own.withColumn("k", F.lit(k))
+        sets = own if sets is None else sets.unionByName(own)
+    return K.elbow(K.wssse_of(points, sets))
 
 
 @query
 def cluster_centres(spark, sf_dir):
-    model = K.fit_kmeans(vectors(spark, sf_dir), 10)
-    return K.cluster_centres(spark, model).select("cluster", *joined("centre"))
+    """Settled centres against the means of the rows assigned to them."""
+    points = vectors(spark, sf_dir)
+    model = K.fit_kmeans(points, 10, maxIter=200, tol=0.0)
+    rows = K.assign_clusters(points, model)
+    means = K.centres_of(rows, "prediction").withColumnRenamed("centre", "mean")
+    sizes = rows.groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n"))
+    both = K.cluster_centres(spark, model).join(means, "cluster").join(sizes, "cluster")
+    return both.agg(
+        F.count("*").alias("clusters"),
+        F.sum("n").alias("points"),
+        F.round(F.max(max_gap("centre", "mean")), 4).alias("gap"),
+    )
 
 
 def assigned(spark, sf_dir):
     points = vectors(spark, sf_dir)
-    centres = label_centres(points)
-    model = K.model_of(spark, centres)
-    return K.assign_clusters(points, model), model, centres
+    return K.nearest_centres(points, K.centres_of(points, "label"), output="cluster")
 
 
 @query
 def assign_clusters(spark, sf_dir):
-    rows, model, centres = assigned(spark, sf_dir)
-    cluster = F.get(F.lit(K.centre_numbers(model, centres)), F.col("prediction"))
-    return K.with_distance(rows, model).select(
-        "vec_id", cluster.alias("cluster"), F.round("distance", 6).alias("distance")
+    return assigned(spark, sf_dir).select(
+        "vec_id", "cluster", F.round("distance", 6).alias("distance")
     )
 
 
 @query
 def cluster_sizes(spark, sf_dir):
-    rows, model, centres = assigned(spark, sf_dir)
-    cluster = F.get(F.lit(K.centre_numbers(model, centres)), F.col("prediction"))
-    return K.cluster_sizes(rows.select(cluster.alias("cluster")), "cluster")
+    return K.cluster_sizes(assigned(spark, sf_dir), "cluster")
 
 
 # Sentiment and classification
@@ -401,24 +552,64 @@ def sentence_scores(spark, sf_dir):
     return scored.select("id", "pos", F.round("score", 6).alias("score"), "length")
 
 
-@query
-def sentence_scores_by_table(spark, sf_dir):
-    """The lexicon as a table: every word in use gets a score by its length."""
-    df = posts(spark, sf_dir)
-    words = df.select(F.explode(X.terms(F.col("text"))).alias("word")).distinct()
+def lexicon_table(spark, sf_dir):
+    """Every word in use gets a score by its length."""
+    terms = X.terms(F.col("text"))
+    words = repeated(spark, sf_dir).select(F.explode(terms).alias("word")).distinct()
     lexicon = words.select("word", (F.length("word") % 5).cast("double").alias("score"))
-    stored = store(lexicon, shared_dir(spark, "lexicon"))
-    scored = S.sentence_scores_by_table(S.sentences(df), stored)
+    return store(lexicon, shared_dir(spark, "lexicon"))
+
+
+def by_table(spark, sf_dir, broadcast_rows):
+    parts = S.sentences(repeated(spark, sf_dir))
+    lexicon = lexicon_table(spark, sf_dir)
+    scored = S.sentence_scores_by_table(parts, lexicon, broadcast_rows=broadcast_rows)
     return scored.select("id", "pos", F.round("score", 6).alias("score"), "length")
 
 
 @query
-def post_sentiment(spark, sf_dir):
-    scored = S.post_sentiment(posts(spark, sf_dir), LEXICON)
+def sentence_scores_by_table(spark, sf_dir):
+    """The lexicon as a table small enough to send to all tasks."""
+    return by_table(spark, sf_dir, 10_000_000)
+
+
+@query
+def sentence_scores_by_joined_table(spark, sf_dir):
+    """The lexicon as a table that is joined by a shuffle."""
+    return by_table(spark, sf_dir, 0)
+
+
+def rounded_scores(scored):
     names = ("score", "mean_score", "main_score")
     return scored.select("id", *[F.round(name, 6).alias(name) for name in names])
 
 
+@query
+def post_sentiment(spark, sf_dir):
+    return rounded_scores(S.post_sentiment(posts(spark, sf_dir), LEXICON))
+
+
+@query
+def post_sentiment_large_lexicon(spark, sf_dir):
+    """25,000 words with 500 scores."""
+    return rounded_scores(S.post_sentiment(posts(spark, sf_dir), LARGE_LEXICON))
+
+
+@query
+def post_sentiment_by_table(spark, sf_dir):
+    folder = shared_dir(spark, "rows")
+    scored = S.post_sentiment(repeated(spark, sf_dir), lexicon_table(spark, sf_dir), folder)
+    return rounded_scores(scored)
+
+
+@query
+def post_sentiment_by_scorer(spark, sf_dir):
+    """Any column function of a sentence."""
+    folder = shared_dir(spark, "rows")
+    scorer = lambda s: (F.length(s) % 5).cast("double")
+    return rounded_scores(S.post_sentiment(repeated(spark, sf_dir), scorer, folder))
+
+
 @query
 def sentiment_class(spark, sf_dir):
     scored = S.post_sentiment(posts(spark, sf_dir), LEXICON)
@@ -463,26 +654,28 @@ def confusion_counts(spark, sf_dir):
 # Streams and whole analyses
 
 
+# Fixed times of the events: a tenth of the first slice arrives after the second one.
+EVENT_BORDERS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+LATENESS = "12 days"
+FAR = "2024-03-01 00:00:00"
+
+
 @query
 def window_counts_query(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).option(
-        "pathGlobFilter", "events.parquet"
-    ).parquet(sf_dir)
-    counts = window_counts(stream, "1 hour", by=("event_type",))
-    out = shared_dir(spark, "windows")
-
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(replace)
-        .option("checkpointLocation", shared_dir(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    """Closed windows of a stream with a late slice; a far later event closes the last ones."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first, second, third = slices_of(events, "ts", EVENT_BORDERS)
+    late = F.col("event_id") % 10 == 0
+    far = events.limit(1).withColumn("ts", F.lit(FAR).cast("timestamp"))
+    source, out = shared_dir(spark, "events"), shared_dir(spark, "windows")
+    checkpoint = shared_dir(spark, "checkpoint")
+    for part in (first.filter(~late), second, first.filter(late), third, far):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        counts = window_counts(stream, "1 hour", lateness=LATENESS, by=("event_type",))
+        writer = counts.writeStream.outputMode("append").format("parquet")
+        writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        writer.start(out).awaitTermination()
     return spark.read.schema(counts.schema).parquet(out)
 
 
@@ -493,9 +686,8 @@ def batch_window_counts(spark, sf_dir):
 
 @query
 def live_curate(spark, sf_dir):
-    stream = arriving(spark, sf_dir)
-    out = shared_dir(spark, "live")
-    jobs.curate_live(stream, out, shared_dir(spark, "checkpoint"), None).awaitTermination()
+    out, checkpoint = shared_dir(spark, "live"), shared_dir(spark, "checkpoint")
+    arriving(spark, sf_dir, lambda stream: jobs.curate_live(stream, out, checkpoint, None))
     return spark.read.parquet(out).select(
         "createdAt",
         "retweetCount",
@@ -509,11 +701,10 @@ def live_curate(spark, sf_dir):
 
 @query
 def live_analyze(spark, sf_dir):
-    stream = arriving(spark, sf_dir)
-    out = shared_dir(spark, "live")
-    jobs.analyse_live(
-        stream, out, shared_dir(spark, "checkpoint"), None, LEXICON
-    ).awaitTermination()
+    out, checkpoint = shared_dir(spark, "live"), shared_dir(spark, "checkpoint")
+    arriving(
+        spark, sf_dir, lambda stream: jobs.analyse_live(stream, out, checkpoint, None, LEXICON)
+    )
     stage = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*/classes")
     return stage.select("batch_id", "id", "prediction_bayes")
 
@@ -528,17 +719,29 @@ def curate_posts_query(spark, sf_dir):
 
 @query
 def cluster_posts_query(spark, sf_dir):
+    """Held-out posts, and how far their centre is from the nearest one, found by expression."""
     out = shared_dir(spark, "analysis")
     _, features = prepare_features(clean_posts(posts(spark, sf_dir)), out)
     train, test = K.split_train_test(features)
-    return cluster_posts(train, test, out).predictions.select("id", "prediction")
+    done = cluster_posts(train, test, features, out)
+    own = K.with_distance(done.predictions, done.model).withColumnRenamed("distance", "own")
+    nearest = K.nearest_centres(own, done.centres, output="nearest")
+    return nearest.select("id", F.round(F.col("own") - F.col("distance"), 9).alias("gap"))
 
 
-@query
-def classify_posts_query(spark, sf_dir):
+def classified(spark, sf_dir, lexicon):
     out = shared_dir(spark, "analysis")
     curated = store(curate_posts(posts(spark, sf_dir)), f"{out}/curated")
     train, test = K.split_train_test(curated)
-    classes = classify_posts(train, test, out, LEXICON)
+    classes = classify_posts(train, test, out, lexicon)
     return classes.predictions.select("id", "prediction_bayes")
 
+
+@query
+def classify_posts_query(spark, sf_dir):
+    return classified(spark, sf_dir, LEXICON)
+
+
+@query
+def classify_posts_by_table(spark, sf_dir):
+    return classified(spark, sf_dir, lexicon_table(spark, sf_dir))

@@ -31,8 +31,10 @@ def parse_created_at(text: Column) -> Column:
     The two formats are told apart by shape, so a row is parsed only once: a failed parse
     costs a JVM exception.
     """
-    collected = F.try_to_timestamp(text, F.lit(COLLECTED_DATE))
-    live = F.try_to_timestamp(F.substring(text, 5, 64), F.lit(LIVE_DATE))
+    # As newer writers have it: "Jan 12, 2019, 5:03:09 PM", with a narrow blank before the "PM".
+    plain = F.regexp_replace(F.translate(text, "\u202f\u00a0", "  "), r"^(\w{3} \d+, \d+),", "$1")
+    collected = F.try_to_timestamp(plain, F.lit(COLLECTED_DATE))
+    live = F.try_to_timestamp(text.substr(F.lit(5), F.length(text)), F.lit(LIVE_DATE))
     return F.when(text.rlike(r"^[A-Z][a-z]{2} \d"), collected).when(
         text.rlike(r"^[A-Z][a-z]{2} [A-Z]"), live
     )

@@ -1,7 +1,9 @@
 """Expressions that score sentences and name the sentiment of a post."""
 
+import json
 from collections.abc import Mapping
 from itertools import chain
+from zlib import crc32
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,29 +14,24 @@ from postflow.values import SENTIMENT_LABELS
 NEUTRAL_SCORE = 2.0
 NO_SENTENCE = -1.0
 
-# A lexicon is written into the plan as literals; larger ones belong in a table
-# (operators.sentiment.sentence_scores_by_table).
-MAX_LEXICON = 20_000
-MAX_SCORES = 64
-
-
-def check_lexicon(lexicon: Mapping[str, float]) -> None:
-    if not lexicon or len(lexicon) > MAX_LEXICON or len(set(lexicon.values())) > MAX_SCORES:
-        raise ValueError(
-            f"a literal lexicon needs 1..{MAX_LEXICON} words and at most {MAX_SCORES} distinct "
-            "scores; use sentence_scores_by_table for larger ones"
-        )
+# Words of a literal lexicon that share a bucket, on average.
+BUCKET_WORDS = 2
 
 
 def word_score(word: Column, lexicon: Mapping[str, float]) -> Column:
-    """Score of a word, null when unlisted: one hash-set probe per distinct score."""
-    check_lexicon(lexicon)
-    score = None
-    for value in sorted(set(lexicon.values())):
-        words = sorted(w for w, s in lexicon.items() if s == value)
-        case = F.when if score is None else score.when
-        score = case(word.isin(words), F.lit(float(value)))
-    return score
+    """Score of a word, null when unlisted.
+
+    The lexicon is written into the plan as small maps, found by a hash of the word, so a word
+    costs the same in a lexicon of any size and with any number of scores.
+    """
+    if not lexicon:
+        raise ValueError("an empty lexicon")
+    buckets: list[dict] = [{} for _ in range(-(-len(lexicon) // BUCKET_WORDS))]
+    for listed, score in lexicon.items():
+        buckets[crc32(listed.encode()) % len(buckets)][listed] = float(score)
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,double>>")
+    own = F.get(table, (F.crc32(word.cast("binary")) % len(buckets)).cast("int"))
+    return F.try_element_at(own, word)
 
 
 def _mean(pairs: Column, otherwise: float) -> Column:
@@ -57,12 +54,11 @@ def _mean(pairs: Column, otherwise: float) -> Column:
 
 def sentence_score(sentence: Column, lexicon: Mapping[str, float]) -> Column:
     """Mean score of the listed words of a sentence, neutral when it has none."""
-    check_lexicon(lexicon)
-    listed = sorted(lexicon)
-    hits = F.filter(terms(sentence), lambda word: word.isin(listed))
+    scores = F.transform(terms(sentence), lambda word: word_score(word, lexicon))
     one = F.lit(1).cast("bigint")
     pairs = F.transform(
-        hits, lambda w: F.struct(word_score(w, lexicon).alias("score"), one.alias("weight"))
+        F.filter(scores, lambda score: score.isNotNull()),
+        lambda score: F.struct(score.alias("score"), one.alias("weight")),
     )
     return _mean(pairs, NEUTRAL_SCORE)
 

@@ -1,11 +1,12 @@
 """Expressions over post text: built-in, null-safe, and narrow (no shuffle)."""
 
 import json
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postflow.values import BLANKS
+from postflow.values import BLANKS, WHITE
 
 
 def hashtags(text: Column) -> Column:
@@ -34,6 +35,18 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{M}\p{N}_]+"), F.lit(0))
 
 
+def phrase_terms(phrase: str) -> list[str]:
+    """The :func:`terms` of a phrase to track; a ``#`` or ``@`` right before a term stays on it."""
+    found, lead = [""], ""
+    for letter in phrase.lower():
+        if letter == "_" or unicodedata.category(letter)[0] in "LMN":
+            found[-1] += (lead if not found[-1] else "") + letter
+        elif found[-1]:
+            found.append("")
+        lead = letter if letter in "#@" else ""
+    return [term for term in found if term]
+
+
 def without(words: Column, dropped, lowered: bool = False) -> Column:
     """``words`` less the given ones, compared without case (or as they are, if ``lowered``)."""
     dropped = [word.lower() for word in dropped]
@@ -43,16 +56,22 @@ def without(words: Column, dropped, lowered: bool = False) -> Column:
 def matches_phrase(text: Column, phrases) -> Column:
     """True where all terms of at least one phrase occur in ``text``, in any order and case.
 
+    Phrases are cut into terms as texts are, so ``e-mail`` stands for ``e`` and ``mail``. A term
+    with a ``#`` or ``@`` before it matches words so tagged only, a plain term either.
+
     The words of the text are first cut down to those any phrase uses (one hash probe each), so
     a long phrase list is only compared with the few words that can matter.
     """
-    needed = [phrase.lower().split() for phrase in phrases]
-    needed = [phrase for phrase in needed if phrase]
-    if not needed:
-        raise ValueError("no phrase to track")
+    needed = [phrase_terms(phrase) for phrase in phrases]
+    if not needed or not all(needed):
+        raise ValueError("no phrase to track, or one without a letter or digit")
     used = sorted({term for phrase in needed for term in phrase})
     wanted = F.from_json(F.lit(json.dumps(needed)), "array<array<string>>")
-    hits = F.filter(terms(text), lambda word: word.isin(used))
+    words = terms(text)
+    if any(term[0] in "#@" for term in used):
+        tagged = F.regexp_extract_all(F.lower(text), F.lit(r"[#@][\p{L}\p{M}\p{N}_]+"), F.lit(0))
+        words = F.concat(words, tagged)
+    hits = F.filter(words, lambda word: word.isin(used))
 
     def any_phrase(found: Column) -> Column:
         return (F.size(found) > 0) & F.exists(
@@ -64,6 +83,13 @@ def matches_phrase(text: Column, phrases) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    """Trimmed, non-empty sentences; null for null text."""
-    parts = F.transform(F.split(text, r"[.!?\n]+"), lambda part: F.trim(part))
-    return F.filter(parts, lambda part: part != "")
+    """Sentences without white space around them; null for null text.
+
+    Links are left out. Line ends, ``!`` and ``?`` end a sentence, ``.`` only before white space
+    or at the end of the text. A part without a letter or digit is no sentence.
+    """
+    plain = F.regexp_replace(text, f"(?i)https?://[^{WHITE}]+", " ")
+    cut = F.regexp_replace(plain, rf"\.+([{WHITE}]|\z)", "\n$1")
+    edge = rf"^[{WHITE}]+|[{WHITE}]+\z"
+    parts = F.transform(F.split(cut, r"[!?\r\n]+"), lambda p: F.regexp_replace(p, edge, ""))
+    return F.filter(parts, lambda part: part.rlike(r"[\p{L}\p{N}]"))

@@ -3,7 +3,6 @@
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IndexToString, StringIndexer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +55,3 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = PRED
         F.count("*").alias("count")
     )
 
-
-def feature_list(df: DataFrame, column: str) -> DataFrame:
-    """Turn a vector column into an array of doubles."""
-    return df.withColumn(column, vector_to_array(column))

@@ -100,7 +100,13 @@ def device_distribution(df: DataFrame, top: int = 15) -> DataFrame:
 
 
 def parse_created_at(df: DataFrame, column: str = "createdAt") -> DataFrame:
-    return df.withColumn(column, P.parse_created_at(F.col(column)))
+    """Turn the date text in ``column`` into a timestamp.
+
+    Text that is no date stays, in ``<column>Text``, which is null where the date was read.
+    """
+    parsed = P.parse_created_at(F.col(column))
+    unread = F.when(parsed.isNull(), F.col(column))
+    return df.withColumns({column: parsed, f"{column}Text": unread})
 
 
 def split_bucket(key: Column, seed: int, buckets: int) -> Column:

@@ -3,11 +3,10 @@
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
 import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,9 +16,6 @@ from postflow.values import ELBOW_SLOPE, K_GRID, KMEANS_SEED, SPLIT_SEED
 
 SPLIT_BUCKETS = 1000
 
-# Vectors up to this long have their distances spelled out.
-UNROLLED = 32
-
 
 def with_part(
     df: DataFrame, train: float = 0.7, seed: int = SPLIT_SEED, key: str = "id"
@@ -48,8 +44,11 @@ def split_train_test(
     return tuple(parts.filter(F.col("part") == name).drop("part") for name in ("train", "test"))
 
 
-def fit_kmeans(df: DataFrame, k: int, seed: int = KMEANS_SEED, features: str = "features"):
-    return KMeans(k=k, seed=seed, featuresCol=features).fit(df)
+def fit_kmeans(
+    df: DataFrame, k: int, seed: int = KMEANS_SEED, features: str = "features", **settings
+):
+    """``settings`` go to the fit, such as ``maxIter`` and ``tol``."""
+    return KMeans(k=k, seed=seed, featuresCol=features, **settings).fit(df)
 
 
 def kmeans_grid(
@@ -77,13 +76,12 @@ def kmeans_grid(
     return {k: models[k] for k in grid}
 
 
-def centres_of(df: DataFrame, label: str, features: str, most: int = 10_000) -> list[list[float]]:
-    """Mean vector of each label, in label order; for at most ``most`` labels."""
+def centres_of(df: DataFrame, label: str, features: str = "features") -> DataFrame:
+    """``(cluster, centre)``: the mean vector of each integer ``label``."""
     means = df.groupBy(label).agg(Summarizer.mean(F.col(features)).alias("centre"))
-    rows = means.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} labels")
-    return [row["centre"].toArray().tolist() for row in sorted(rows, key=lambda r: r[label])]
+    return means.select(
+        F.col(label).cast("int").alias("cluster"), vector_to_array("centre").alias("centre")
+    )
 
 
 def _centre_table(spark: SparkSession, models: Mapping[int, Sequence]) -> DataFrame:
@@ -97,38 +95,58 @@ def _centre_table(spark: SparkSession, models: Mapping[int, Sequence]) -> DataFr
     return spark.createDataFrame(pa.table(columns))
 
 
-def model_of(spark: SparkSession, centres, features: str = "features") -> KMeansModel:
-    """A model with the given centres, numbered as in ``model.clusterCenters()``.
+def _squared_distance(point: Column, centre: Column) -> Column:
+    parts = F.zip_with(point, centre, lambda a, b: (a - b) * (a - b))
+    return F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
+
 
-    Random initialisation without replacement of as many centres as there are rows takes every
-    row, and one round over them leaves each in place.
+def _nearest(point: Column, centres: Column) -> Column:
+    """The least ``struct<distance, cluster>`` over an array of ``struct<cluster, centre>``."""
+    return F.array_min(
+        F.transform(
+            centres,
+            lambda c: F.struct(
+                _squared_distance(point, c["centre"]).alias("distance"), c["cluster"].alias("cluster")
+            ),
+        )
+    )
+
+
+def nearest_centres(
+    df: DataFrame, centres: DataFrame, features: str = "features", output: str = "prediction"
+) -> DataFrame:
+    """Add the nearest of ``centres (cluster, centre)`` and the squared ``distance`` to it.
+
+    Of equally near centres the first cluster wins. The centres are a model of k rows: they are
+    read into one value of the plan, which each task gets.
     """
-    points = _centre_table(spark, {0: centres}).select(array_to_vector("centre").alias(features))
-    return KMeans(
-        k=len(centres), initMode="random", maxIter=1, seed=KMEANS_SEED, featuresCol=features
-    ).fit(points.coalesce(1))
+    table = centres.agg(F.sort_array(F.collect_list(F.struct("cluster", "centre"))))
+    best = df.withColumn("_centres", table.scalar()).withColumn(
+        "_best", _nearest(vector_to_array(features), F.col("_centres"))
+    )
+    return best.withColumns(
+        {output: F.col("_best.cluster"), "distance": F.col("_best.distance")}
+    ).drop("_best", "_centres")
 
 
-def centre_numbers(model: KMeansModel, centres) -> list[int]:
-    """For each cluster of a :func:`model_of`, the place of its centre in ``centres``."""
-    given = np.asarray(centres)
-    return [int(((given - c) ** 2).sum(axis=1).argmin()) for c in model.clusterCenters()]
+def wssse_of(df: DataFrame, centres: DataFrame, features: str = "features") -> DataFrame:
+    """``(k, wssse)`` over all rows of ``df`` for given centre sets ``(k, cluster, centre)``."""
+    sets = centres.groupBy("k").agg(
+        F.sort_array(F.collect_list(F.struct("cluster", "centre"))).alias("centres")
+    )
+    table = sets.agg(F.sort_array(F.collect_list(F.struct("k", "centres"))))
+    points = df.select(vector_to_array(features).alias("point"))
+    every = points.select("point", F.explode(table.scalar()).alias("s"))
+    cost = _nearest(F.col("point"), F.col("s.centres"))["distance"]
+    return every.select(F.col("s.k").alias("k"), cost.alias("d")).groupBy("k").agg(
+        F.sum("d").alias("wssse")
+    )
 
 
 def assign_clusters(df: DataFrame, model: KMeansModel, output: str = "prediction") -> DataFrame:
     return model.transform(df, {model.predictionCol: output})
 
 
-def _squared_distance(point: str, centre: str, size: int) -> Column:
-    """Squared distance of two array columns; spelled out by element while that stays short,
-    which compiles to plain arithmetic."""
-    if size <= UNROLLED:
-        steps = [f"({point}[{i}] - {centre}[{i}])" for i in range(size)]
-        return F.expr(" + ".join(f"{step} * {step}" for step in steps))
-    parts = F.zip_with(point, centre, lambda a, b: (a - b) * (a - b))
-    return F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
-
-
 def with_distance(
     df: DataFrame, model: KMeansModel, features: str = "features", cluster: str = "prediction"
 ) -> DataFrame:
@@ -138,7 +156,7 @@ def with_distance(
     """
     centres = cluster_centres(df.sparkSession, model).withColumnRenamed("cluster", cluster)
     joined = df.withColumn("_point", vector_to_array(features)).join(F.broadcast(centres), cluster)
-    distance = _squared_distance("_point", "centre", len(model.clusterCenters()[0]))
+    distance = _squared_distance(F.col("_point"), F.col("centre"))
     return joined.withColumn("distance", distance).drop("_point", "centre")
 
 
@@ -158,12 +176,11 @@ def wssse(df: DataFrame, models: Mapping[int, KMeansModel], features: str = "fea
         vector_to_array(features).alias("point"), F.explode(F.array(*assigned)).alias("a")
     ).select("point", "a.k", "a.cluster")
     given = {k: model.clusterCenters() for k, model in models.items()}
-    size = len(next(iter(given.values()))[0])
     centres = _centre_table(df.sparkSession, given)
     return (
         points.join(F.broadcast(centres), ["k", "cluster"])
         .groupBy("k")
-        .agg(F.sum(_squared_distance("point", "centre", size)).alias("wssse"))
+        .agg(F.sum(_squared_distance(F.col("point"), F.col("centre"))).alias("wssse"))
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
+HOT_SHARE = 0.001
 
 
 def fits_broadcast(table: DataFrame, rows: int) -> bool:
@@ -18,6 +19,16 @@ def fits_broadcast(table: DataFrame, rows: int) -> bool:
     return found["rows"] <= rows and (found["bytes"] or 0) <= BROADCAST_BYTES
 
 
+def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys that hold more than ``share`` of the rows, so at most ``1 / share`` of them.
+
+    Rows merge on the map side: a key reaches the shuffle once for each task.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    least = share * rows.count()
+    return [r[key] for r in counts.filter((F.col("n") > least) & F.col(key).isNotNull()).collect()]
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
@@ -28,15 +39,19 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` to ``table`` on ``key``, whichever way the size of ``table`` allows.
 
-    A table measured to be small is broadcast. Otherwise both sides are shuffled on the key plus
-    a salt, with ``table`` repeated once per salt: a key holding a third of all rows is spread
-    over ``salts`` tasks, and adaptive execution may split those further. Pass a stored table
-    (not a long plan): it is read once to be measured and once for the join.
+    A table measured to be small is broadcast. Otherwise both sides are shuffled on the key, and
+    the few hot keys on a salt as well, with their rows of ``table`` repeated once per salt: a key
+    holding a third of all rows is spread over ``salts`` tasks, and all other rows of ``table``
+    move once. Pass a stored ``table`` (not a long plan): it is read once to be measured and once
+    for the join; ``rows`` are read once to find the hot keys and once for the join.
     """
     if fits_broadcast(table, broadcast_rows):
         return rows.join(F.broadcast(table), key, how)
+    hot = hot_keys(rows, key)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
     # A hash of the row, not a random number: a task that runs again must send it the same way.
     salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    salted = rows.withColumn("_salt", salt)
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = table.withColumn("_salt", F.explode(every))
     return salted.join(copies, [key, "_salt"], how).drop("_salt")

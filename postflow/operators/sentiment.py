@@ -9,6 +9,7 @@ from postflow.functions import sentiment as S
 from postflow.functions.text import sentences as split_sentences
 from postflow.functions.text import terms
 from postflow.operators.joins import BROADCAST_ROWS, lookup_join
+from postflow.sources.storage import store
 
 
 def sentences(df: DataFrame, key: str = "id") -> DataFrame:
@@ -39,35 +40,58 @@ def sentence_scores(
 def sentence_scores_by_table(
     parts: DataFrame, lexicon: DataFrame, key: str = "id", broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """:func:`sentence_scores` for a lexicon of any size, given as a stored table ``(word, score)``."""
-    words = parts.select(key, "pos", F.explode(terms(F.col("sentence"))).alias("word"))
-    counts = words.groupBy(key, "pos", "word").agg(F.count("*").alias("n"))
-    hits = lookup_join(counts, lexicon, "word", broadcast_rows=broadcast_rows)
-    means = hits.groupBy(key, "pos").agg(
-        (F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("score")
-    )
-    scored = parts.join(means, [key, "pos"], "left")
-    return scored.select(
-        *parts.columns,
-        F.coalesce("score", F.lit(S.NEUTRAL_SCORE)).alias("score"),
+    """``(key, pos, score, length)`` of :func:`sentences`, for a lexicon in a stored ``(word, score)``.
+
+    The sentences are read once, and only words, positions and lengths are shuffled, never text.
+    Sentences that share key and position stay apart.
+    """
+    words = parts.select(
+        key,
+        "pos",
         F.length("sentence").alias("length"),
+        F.monotonically_increasing_id().alias("_sentence"),
+        terms(F.col("sentence")).alias("words"),
+    ).select(key, "pos", "length", "_sentence", F.explode_outer("words").alias("word"))
+    found = lookup_join(words, lexicon, "word", "left", broadcast_rows)
+    means = found.groupBy("_sentence", key, "pos", "length").agg(
+        F.coalesce(F.avg("score"), F.lit(S.NEUTRAL_SCORE)).alias("score")
     )
+    return means.select(key, "pos", "score", "length")
+
 
+Lexicon = Mapping[str, float] | DataFrame | Callable[[Column], Column]
 
-def post_sentiment(df: DataFrame, lexicon: Mapping[str, float]) -> DataFrame:
-    """Add ``score``, ``mean_score`` and ``main_score``, without a shuffle."""
-    scored = df.withColumn("_scored", S.scored_sentences(F.col("text"), lexicon))
-    return scored.withColumns(
-        {
-            "score": S.weighted_score(F.col("_scored")),
-            "mean_score": S.mean_score(F.col("_scored")),
-            "main_score": S.main_score(F.col("_scored")),
-        }
-    ).drop("_scored")
+
+def post_sentiment(df: DataFrame, lexicon: Lexicon, folder: str | None = None) -> DataFrame:
+    """Add ``score``, ``mean_score`` and ``main_score``.
+
+    ``lexicon`` is a mapping of words to scores, which needs no shuffle; or a stored table
+    ``(word, score)``; or a scorer that maps a sentence column to a score column, such as a
+    pandas UDF around a model. The last two aggregate by row, and store the rows in ``folder``
+    first, so that row numbers hold.
+    """
+    if isinstance(lexicon, Mapping):
+        scored = df.withColumn("_scored", S.scored_sentences(F.col("text"), lexicon))
+        return scored.withColumns(
+            {
+                "score": S.weighted_score(F.col("_scored")),
+                "mean_score": S.mean_score(F.col("_scored")),
+                "main_score": S.main_score(F.col("_scored")),
+            }
+        ).drop("_scored")
+    if folder is None:
+        raise ValueError("a lexicon table or a scorer needs a folder for the rows")
+    rows = store(df.withColumn("_row", F.monotonically_increasing_id()), folder)
+    parts = sentences(rows, "_row")
+    if isinstance(lexicon, DataFrame):
+        scored = sentence_scores_by_table(parts, lexicon, "_row")
+    else:
+        scored = sentence_scores(parts, scorer=lexicon)
+    return post_sentiment_of(rows, scored, "_row").drop("_row")
 
 
 def post_sentiment_of(df: DataFrame, scored: DataFrame, key: str = "id") -> DataFrame:
-    """:func:`post_sentiment` from the rows of any :func:`sentence_scores`, by unique ``key``."""
+    """:func:`post_sentiment` from the rows of any :func:`sentence_scores`, by a unique ``key``."""
     totals = scored.groupBy(key).agg(
         (F.sum(F.col("score") * F.col("length")) / F.sum("length")).alias("score"),
         F.avg("score").alias("mean_score"),
@@ -83,7 +107,10 @@ def with_sentiment(df: DataFrame, score: str = "score") -> DataFrame:
     return named.withColumn("label", S.sentiment_label(F.col("sentiment")))
 
 
-def label_posts(df: DataFrame, lexicon: Mapping[str, float]) -> DataFrame:
-    """Add ``sentiment`` and ``label`` scored from the text, without a shuffle."""
-    score = S.weighted_score(S.scored_sentences(F.col("text"), lexicon))
-    return with_sentiment(df.withColumn("_score", score), "_score").drop("_score")
+def label_posts(df: DataFrame, lexicon: Lexicon, folder: str | None = None) -> DataFrame:
+    """Add ``sentiment`` and ``label`` scored from the text as :func:`post_sentiment` does."""
+    if isinstance(lexicon, Mapping):
+        score = S.weighted_score(S.scored_sentences(F.col("text"), lexicon))
+        return with_sentiment(df.withColumn("_score", score), "_score").drop("_score")
+    scored = post_sentiment(df, lexicon, folder)
+    return with_sentiment(scored).drop("score", "mean_score", "main_score")

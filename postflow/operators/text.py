@@ -10,12 +10,12 @@ from pyspark.ml.feature import (
     Word2Vec,
     Word2VecModel,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postflow.functions import text as X
 from postflow.operators.joins import BROADCAST_ROWS, lookup_join
-from postflow.values import TERM_BUCKETS, VECTOR_SIZE
+from postflow.values import TERM_BUCKETS, VECTOR_SIZE, WORD_VECTOR_TASKS
 
 
 def with_hashtags(df: DataFrame) -> DataFrame:
@@ -78,14 +78,37 @@ def counted_features(
     return stage.transform(df)
 
 
+def _counted(words: Column) -> Column:
+    """``array<struct<term, tf>>`` of the words of a row: sorted, equal words are neighbours."""
+
+    def starts(ordered: Column) -> Column:
+        n = F.size(ordered)
+        places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        first = F.filter(
+            places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
+        )
+        return F.transform(F.array(first), lambda at: counts(ordered, at))[0]
+
+    def counts(ordered: Column, at: Column) -> Column:
+        ends = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(F.size(ordered)))
+        return F.transform(
+            F.filter(F.arrays_zip(at.alias("a"), ends.alias("b")), lambda x: x["a"].isNotNull()),
+            lambda x: F.struct(
+                F.get(ordered, x["a"]).alias("term"), (x["b"] - x["a"]).cast("bigint").alias("tf")
+            ),
+        )
+
+    # Wrapped in an array, a value becomes a lambda variable and is computed once per row.
+    return F.transform(F.array(F.sort_array(words)), starts)[0]
+
+
 def term_counts(df: DataFrame, key: str = "id", words: str = "filtered_words") -> DataFrame:
-    """``(key, term, tf)``. Repeats within a post merge on the map side; empty words are dropped."""
-    exploded = df.select(key, F.explode(words).alias("term"))
-    return (
-        exploded.filter(F.col("term") != "")
-        .groupBy(key, "term")
-        .agg(F.count("*").alias("tf"))
-    )
+    """``(key, term, tf)`` of each row, without a shuffle; empty words are dropped.
+
+    Rows that share a key stay apart: each has counts of its own.
+    """
+    counted = df.select(key, F.explode(_counted(F.filter(words, lambda word: word != ""))).alias("_c"))
+    return counted.select(key, "_c.term", "_c.tf")
 
 
 def idf_weights(
@@ -93,9 +116,10 @@ def idf_weights(
 ) -> DataFrame:
     """``(term, df, idf)`` with ``idf = ln((m + 1) / (df + 1))`` over the m rows of ``df``.
 
-    Repeats within a row go by ``array_distinct`` before the shuffle, which then only carries
-    one partial count per term and task, however common the term. Stored :func:`term_counts` of
-    the same rows, given as ``counts``, save splitting the text again.
+    Both ``df`` and ``m`` count rows. Repeats within a row go by ``array_distinct`` before the
+    shuffle, which then only carries one partial count per term and task, however common the
+    term. Stored :func:`term_counts` of the same rows, given as ``counts``, save splitting the
+    text again.
     """
     if counts is None:
         distinct = df.select(F.explode(F.array_distinct(words)).alias("term"))
@@ -119,39 +143,21 @@ def tf_idf(
     return joined.select(*keys, "term", (F.col("tf") * F.col("idf")).alias("tf_idf"))
 
 
-MAX_VOCABULARY = 10_000_000
-WORDS_PER_TASK = 100_000
-
-
 def fit_word_vectors(
     df: DataFrame,
     size: int = VECTOR_SIZE,
     min_count: int = 0,
     seed: int = 1,
-    tasks: int | None = None,
+    tasks: int = WORD_VECTOR_TASKS,
     input_col: str = "filtered_words",
     output_col: str = "features",
 ) -> Word2VecModel:
     """Fit word vectors.
 
-    The vocabulary and its vectors live on the driver and in every task, so its size is checked
-    first, in a pass that shuffles no words. Training runs on ``tasks`` tasks: by default as many
-    as the words fill, up to what the cluster runs at once.
+    The vocabulary and its vectors live on the driver and in every task: ``min_count`` is the
+    setting that keeps them in bounds on large input. Training runs on ``tasks`` tasks, whatever
+    the input and the cluster, so equal input gives equal vectors; raise it for large input.
     """
-    counted = df.select(F.explode(input_col).alias("word")).agg(
-        F.count("*").alias("words"), F.approx_count_distinct("word").alias("vocabulary")
-    )
-    found = counted.first()
-    if found["vocabulary"] > MAX_VOCABULARY:
-        words = df.select(F.explode(input_col).alias("word")).groupBy("word").count()
-        if words.filter(F.col("count") >= min_count).count() > MAX_VOCABULARY:
-            raise ValueError(
-                f"about {found['vocabulary']} distinct words do not fit the driver; "
-                "raise min_count"
-            )
-    if tasks is None:
-        at_once = df.sparkSession.sparkContext.defaultParallelism
-        tasks = min(at_once, 1 + found["words"] // WORDS_PER_TASK)
     stage = Word2Vec(
         vectorSize=size,
         minCount=min_count,
@@ -171,20 +177,25 @@ def average_word_vectors(
     words: str = "filtered_words",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """``(key, vector)``: the mean of the word vectors of each post, from a stored table.
+    """``(key, vector)`` of each row: the mean of the word vectors of its words.
 
-    ``vectors`` is ``(word, vector array<double>)``, such as ``model.getVectors()`` with arrays.
-    A word without a vector adds nothing but counts in the mean; a post without words gets zeros.
+    ``vectors`` is a stored ``(word, vector array<double>)``, such as ``model.getVectors()`` with
+    arrays. A word without a vector adds nothing but counts in the mean; a row without words gets
+    zeros. Rows that share a key stay apart.
     """
-    # A post without words keeps one row, whose word is null and has no vector.
-    counts = (
-        df.select(key, F.explode_outer(words).alias("word"))
-        .groupBy(key, "word")
-        .agg(F.count("*").alias("n"))
-    )
+    # Every word of a row comes from one task, so the number holds for all of them. A row without
+    # words keeps one row, whose word is null and has no vector.
+    rows = df.select(key, F.monotonically_increasing_id().alias("_row"), words)
+    counts = rows.select(
+        key,
+        "_row",
+        F.size(words).alias("_words"),
+        F.explode_outer(_counted(F.col(words))).alias("_c"),
+    ).select(key, "_row", "_words", F.col("_c.term").alias("word"), F.col("_c.tf").alias("n"))
     joined = lookup_join(counts, vectors, "word", "left", broadcast_rows)
     sums = [
-        F.coalesce(F.sum(F.col("n") * F.col("vector")[i]), F.lit(0.0)) / F.sum("n")
+        F.coalesce(F.sum(F.col("n") * F.col("vector")[i]), F.lit(0.0))
+        / F.greatest(F.first("_words"), F.lit(1))
         for i in range(size)
     ]
-    return joined.groupBy(key).agg(F.array(*sums).alias("vector"))
+    return joined.groupBy("_row", key).agg(F.array(*sums).alias("vector")).drop("_row")

@@ -7,19 +7,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postflow.functions.posts import parse_created_at
+from postflow.operators.clean import parse_created_at
 from postflow.operators.text import track_filter
 from postflow.values import POST_SCHEMA, SLICE_LEVELS, TRACK_PHRASES
 
 
+# Holds a line that is no JSON record; all other fields of its row are null.
+CORRUPT = "_corrupt_record"
+_READ_SCHEMA = T.StructType(POST_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
+
+
 def read_posts_json(spark: SparkSession, path: str) -> DataFrame:
     """Posts of a JSON-lines path, with ``createdAt`` as a timestamp.
 
     The schema is given, never inferred: no pass over the data to find it, and a field no post
-    has is null rather than missing.
+    has is null rather than missing. What can't be read is kept: a malformed line in
+    ``_corrupt_record``, a date of another form in ``createdAtText``.
     """
-    raw = spark.read.schema(POST_SCHEMA).json(path)
-    return raw.withColumn("createdAt", parse_created_at(F.col("createdAt")))
+    raw = spark.read.schema(_READ_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return parse_created_at(raw)
 
 
 def sliced_schema(grain: str) -> T.StructType:
@@ -38,7 +44,7 @@ def read_time_slice(spark: SparkSession, root: str, grain: str = "hour", **level
     raw = spark.read.schema(sliced_schema(grain)).json(root)
     if levels:
         raw = raw.filter(reduce(and_, [F.col(name) == value for name, value in levels.items()]))
-    return raw.withColumn("createdAt", parse_created_at(F.col("createdAt")))
+    return parse_created_at(raw)
 
 
 def stream_posts(
@@ -49,11 +55,11 @@ def stream_posts(
 ) -> DataFrame:
     """Stream of the posts arriving as JSON files in ``path`` that match a tracked phrase.
 
-    ``phrases=None`` streams every post.
+    ``phrases=None`` streams every post, and malformed lines as :func:`read_posts_json` has them.
     """
-    reader = spark.readStream.schema(POST_SCHEMA)
+    reader = spark.readStream.schema(_READ_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     raw = reader.json(path)
-    posts = raw.withColumn("createdAt", parse_created_at(F.col("createdAt")))
+    posts = parse_created_at(raw)
     return posts if phrases is None else track_filter(posts, phrases)

@@ -1,29 +1,22 @@
 """Stored intermediate tables."""
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="postflow-")
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the machines of the session share.
 
+    ``spark.checkpoint.dir``, else the folder given to ``setCheckpointDir``, else the warehouse.
+    """
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    return given or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the folder the cluster shares between its machines.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session may do without
-    one: it gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = _local_root()
-    return f"{root.rstrip('/')}/postflow/{name}-{uuid.uuid4().hex}"
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new path below :func:`shared_root`."""
+    return f"{shared_root(spark).rstrip('/')}/postflow/{name}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
@@ -33,3 +26,9 @@ def store(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that no result reads any more, on whatever file system it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

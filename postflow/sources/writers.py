@@ -8,8 +8,15 @@ from postflow.values import SLICE_LEVELS
 
 
 def collected_record(df: DataFrame) -> DataFrame:
-    """Posts with ``createdAt`` as the date text of collected JSON."""
-    return df.withColumn("createdAt", collected_date(F.col("createdAt")))
+    """Posts with ``createdAt`` as the date text of collected JSON.
+
+    A text that could not be read as a date goes out as it came in; a post has no
+    ``_corrupt_record``.
+    """
+    text = collected_date(F.col("createdAt"))
+    if "createdAtText" in df.columns:
+        text = F.coalesce(text, F.col("createdAtText"))
+    return df.withColumn("createdAt", text).drop("createdAtText", "_corrupt_record")
 
 
 def posts_to_json(df: DataFrame) -> DataFrame:

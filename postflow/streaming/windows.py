@@ -9,8 +9,11 @@ def window_counts(
 ) -> DataFrame:
     """Rows per tumbling window of ``length`` (and per ``by`` column), batch or stream.
 
-    ``lateness`` sets a watermark: windows older than that are final and their state is freed.
+    ``lateness`` sets a watermark: windows older than that are final and their state is freed. A
+    stream needs one, or its state would never end.
     """
+    if df.isStreaming and not lateness:
+        raise ValueError("window_counts of a stream needs lateness")
     timed = df.withColumn(ts, F.col(ts).cast("timestamp"))
     if lateness:
         timed = timed.withWatermark(ts, lateness)

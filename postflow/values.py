@@ -77,6 +77,7 @@ ELBOW_SLOPE = -3.0
 SPLIT_SEED = 1234
 KMEANS_SEED = 1
 VECTOR_SIZE = 5
+WORD_VECTOR_TASKS = 4
 TERM_BUCKETS = 20
 
 SENTIMENT_LABELS = {
@@ -88,7 +89,8 @@ SENTIMENT_LABELS = {
     "NOT_UNDERSTOOD": 5,
 }
 
-# Date texts: collected JSON, and the live record (after its weekday).
+# Date texts: collected JSON, and the live record (after its weekday). Newer writers put a comma
+# after the year, or a narrow blank before AM and PM; both are read as the first form.
 COLLECTED_DATE = "MMM d, yyyy h:mm:ss a"
 LIVE_DATE = "MMM dd HH:mm:ss zzz yyyy"
 
@@ -100,3 +102,8 @@ SLICE_LEVELS = {
 
 # What Java's \s matches; spelled out because SQL engines differ on it.
 BLANKS = " \t\n\x0b\f\r"
+
+# White space of all Unicode, as the inside of a character class.
+WHITE = (
+    r" \t\n\x0B\f\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)

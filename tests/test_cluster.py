@@ -47,29 +47,32 @@ def test_wssse_is_the_training_cost(points):
     assert list(models) == [3, 7]
     costs = {r["k"]: r["wssse"] for r in K.wssse(points, models).collect()}
     for k, model in models.items():
-        assert costs[k] == pytest.approx(model.summary.trainingCost, rel=1e-9)
+        assert costs[k] == pytest.approx(model.summary.trainingCost, rel=1e-6)
+        distances = K.with_distance(K.assign_clusters(points, model), model)
+        assert distances.agg(F.sum("distance")).first()[0] == pytest.approx(costs[k])
 
 
-@pytest.mark.parametrize("unrolled", [0, 64])
-def test_wssse_against_brute_force(spark, points, monkeypatch, unrolled):
-    monkeypatch.setattr(K, "UNROLLED", unrolled)
-    centres = K.centres_of(points, "label", "features")
+def test_given_centres_against_brute_force(spark, points):
+    centres = K.centres_of(points, "label")
+    given = np.array([r["centre"] for r in centres.orderBy("cluster").collect()])
     data = np.array([r["features"].toArray() for r in points.select("features").collect()])
-    exact = ((data[:, None, :] - np.array(centres)[None]) ** 2).sum(axis=2).min(axis=1).sum()
-    model = K.model_of(spark, centres)
-    got = K.wssse(points, {10: model}).first()["wssse"]
-    assert got == pytest.approx(exact)
-    distances = K.with_distance(K.assign_clusters(points, model), model)
-    assert distances.agg(F.sum("distance")).first()[0] == pytest.approx(exact)
+    exact = ((data[:, None, :] - given[None]) ** 2).sum(axis=2).min(axis=1).sum()
+    assert K.wssse_of(points, centres.withColumn("k", F.lit(10))).first()["wssse"] == pytest.approx(exact)
+    nearest = K.nearest_centres(points, centres)
+    assert nearest.agg(F.sum("distance")).first()[0] == pytest.approx(exact)
 
 
-def test_model_of_keeps_the_centres(spark):
-    centres = [[0.0, 1.0], [5.0, 5.0], [-3.0, 2.0]]
-    model = K.model_of(spark, centres)
-    numbers = K.centre_numbers(model, centres)
-    assert sorted(numbers) == [0, 1, 2]
-    for number, centre in zip(numbers, model.clusterCenters()):
-        assert list(centre) == centres[number]
+def test_one_centre_and_equal_centres(spark):
+    df = spark.createDataFrame([([0.0],), ([4.0],)], "v array<double>")
+    df = df.select(array_to_vector("v").alias("features"))
+    one = spark.createDataFrame([(7, [1.0])], "cluster int, centre array<double>")
+    rows = K.nearest_centres(df, one).orderBy("distance").collect()
+    assert [(r["prediction"], r["distance"]) for r in rows] == [(7, 1.0), (7, 9.0)]
+    equal = spark.createDataFrame(
+        [(2, [4.0]), (1, [4.0]), (0, [0.0])], "cluster int, centre array<double>"
+    )
+    rows = K.nearest_centres(df, equal).orderBy("prediction").collect()
+    assert [(r["prediction"], r["distance"]) for r in rows] == [(0, 0.0), (1, 0.0)]
 
 
 def test_more_clusters_than_points(spark):
@@ -78,11 +81,6 @@ def test_more_clusters_than_points(spark):
     assert len(model.clusterCenters()) <= 3
 
 
-def test_centres_of_bounds_labels(points):
-    with pytest.raises(ValueError):
-        K.centres_of(points, "vec_id", "features", most=10)
-
-
 def test_cluster_sizes(spark):
     df = spark.createDataFrame([(c,) for c in [2, 2, 1, 1, 0]], "prediction int")
     assert [tuple(r) for r in K.cluster_sizes(df, top=2).collect()] == [(1, 2), (2, 2)]

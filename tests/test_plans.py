@@ -3,11 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks.fixtures import LEXICON
+from checks.fixtures import LARGE_LEXICON, LEXICON
 from checks.queries import vectors, words_of
 from postflow.operators import cluster as K
 from postflow.operators import sentiment as S
 from postflow.operators import text as W
+from postflow.operators.joins import hot_keys
 from postflow.plans.curate import clean_posts, curate_posts
 from postflow.sources.storage import shared_dir, store
 from tests.conftest import SF_DIR, plan_of
@@ -83,6 +84,39 @@ def test_lookup_is_broadcast_only_when_small(spark, stored):
     assert "SortMergeJoin" in plan and "_salt" in plan
 
 
+def test_term_counts_need_no_shuffle(stored):
+    plan = plan_of(W.term_counts(words_of(stored)))
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_sentences_by_table_move_no_text(spark, stored, broadcast_rows):
+    table = store(
+        spark.createDataFrame(list(LEXICON.items()), "word string, score double"),
+        shared_dir(spark, "lexicon"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = S.sentence_scores_by_table(S.sentences(stored), table, broadcast_rows=broadcast_rows)
+        plan = plan_of(scored)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [part for part in plan.split("\n\n") if ") Exchange\n" in part]
+    assert exchanges and not any("sentence" in part or "text" in part for part in exchanges)
+    assert plan.count("text:string") == 1
+
+
+def test_hot_keys_alone_are_copied(spark):
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id"))).alias("key")
+    )
+    assert hot_keys(rows, "key") == ["hot"]
+
+
+def test_a_literal_lexicon_is_folded(stored):
+    assert "from_json" not in plan_of(S.label_posts(stored, LARGE_LEXICON))
+
+
 def test_all_models_share_one_pass(spark):
     points = vectors(spark, SF_DIR)
     models = K.kmeans_grid(points, (2, 3))

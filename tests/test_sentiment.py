@@ -45,7 +45,7 @@ def scored(spark, text, lexicon):
 
 
 def test_post_score_weighs_by_length(spark):
-    text = "bad" + "x" * 0 + " 345678" + ". " + "good 67890 234567890 234567890"
+    text = "bad 345678" + ". " + "good 67890 234567890 234567890"
     got = scored(spark, text, {"bad": 1.0, "good": 4.0})
     assert got == (3.25, 2.5, 4.0)
 
@@ -55,7 +55,7 @@ def test_first_longest_sentence_wins(spark):
     assert scored(spark, "good. fine", {"good": 4.0, "fine": 3.0})[2] == 4.0
 
 
-@pytest.mark.parametrize("text", [None, "", " ... !"])
+@pytest.mark.parametrize("text", [None, "", " ... !", "\t\t", "\u00a0.\r\n", "https://t.co/ab1"])
 def test_no_sentence(spark, text):
     assert scored(spark, text, {"x": 1.0}) == (-1.0, -1.0, -1.0)
 
@@ -87,11 +87,41 @@ def test_a_scorer_can_be_any_column_function(spark, posts):
     assert parts.filter("score <> length % 5").isEmpty()
 
 
-def test_lexicons_are_bounded(spark, posts):
+def test_a_lexicon_needs_a_word(posts):
     with pytest.raises(ValueError):
         S.post_sentiment(posts, {})
+
+
+def test_a_lexicon_of_any_size(spark):
+    large = {f"w{i}": i / 7000 for i in range(25_000)}
+    assert scored(spark, "w70 x w14000", large)[0] == pytest.approx((70 / 7000 + 2.0) / 2)
+
+
+@pytest.mark.parametrize("tail", ["", "\r\n", "\u00a0", "\t", " !", "\n...\n", " https://t.co/ab1"])
+def test_white_space_and_links_are_no_sentence(spark, tail):
+    assert scored(spark, "great." + tail, {"great": 4.0}) == (4.0, 4.0, 4.0)
+
+
+def test_dots_inside_words_end_nothing(spark):
+    df = spark.createDataFrame([(1, "v1.2 is 3.5. Yes... no?ok")], "id long, text string")
+    assert [r["sentence"] for r in S.sentences(df).orderBy("pos").collect()] == [
+        "v1.2 is 3.5", "Yes", "no", "ok"
+    ]
+
+
+def test_a_table_or_a_scorer_labels_posts(spark, posts):
+    table = store(
+        spark.createDataFrame(list(LEXICON.items()), "word string, score double"),
+        shared_dir(spark, "lexicon"),
+    )
+    columns = ["id", "sentiment", "label"]
+    expected = S.label_posts(posts, LEXICON).select(columns)
+    by_table = S.label_posts(posts, table, shared_dir(spark, "rows")).select(columns)
+    assert expected.exceptAll(by_table).isEmpty() and by_table.exceptAll(expected).isEmpty()
+    one = S.label_posts(posts, lambda s: F.lit(3.5), shared_dir(spark, "rows"))
+    assert {r["sentiment"] for r in one.select("sentiment").distinct().collect()} == {"POSITIVE"}
     with pytest.raises(ValueError):
-        S.post_sentiment(posts, {f"w{i}": 1.0 for i in range(E.MAX_LEXICON + 1)})
+        S.label_posts(posts, table)
 
 
 def test_labels_with_gaps_come_back(spark):

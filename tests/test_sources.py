@@ -1,12 +1,14 @@
 import glob
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from postflow.sources import readers, writers
-from postflow.sources.storage import shared_dir
+from postflow.sources.storage import remove, shared_dir, store
+from postflow.streaming import jobs
 from tests.conftest import plan_of
 
 
@@ -16,6 +18,29 @@ def test_missing_fields_are_null(spark, tmp_path):
     assert row["id"] == 1 and row["retweetedStatus"] is None and row["createdAt"] is None
 
 
+def test_what_cannot_be_read_is_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = ['{"id": 1, "createdAt": "yesterday"}', '{"id": 2, "createdAt": "Jan 12, 2019, 5:03:09\u202fPM"}', '{"id": 3,']
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    read = readers.read_posts_json(spark, str(tmp_path / "in"))
+    rows = {r["id"]: r for r in read.collect()}
+    assert rows[1]["createdAt"] is None and rows[1]["createdAtText"] == "yesterday"
+    assert rows[2]["createdAt"] == datetime(2019, 1, 12, 17, 3, 9)
+    assert rows[2]["createdAtText"] is None
+    assert rows[None]["_corrupt_record"] == '{"id": 3,'
+    jobs.collect_posts(
+        readers.stream_posts(spark, str(tmp_path / "in"), None),
+        str(tmp_path / "out"),
+        str(tmp_path / "c"),
+        None,
+        "hour",
+    ).awaitTermination()
+    again = {r["id"]: r for r in readers.read_time_slice(spark, str(tmp_path / "out")).collect()}
+    assert set(again) == {1, 2} and again[1]["createdAtText"] == "yesterday"
+    lost = spark.read.text(str(tmp_path / "out" / "_corrupt")).collect()
+    assert [r["value"] for r in lost] == ['{"id": 3,']
+
+
 def test_json_text_is_valid(posts):
     row = writers.posts_to_json(posts.filter("id = 5")).first()
     record = json.loads(row["json"])
@@ -75,6 +100,13 @@ def test_vectors_in_a_json_stage(spark, tmp_path):
     assert stored[2]["type"] == 0 and stored[2]["indices"] == [1] and stored[2]["size"] == 3
 
 
+def test_a_removed_table_is_gone(spark, posts, tmp_path):
+    path = str(tmp_path / "table")
+    store(posts.limit(3), path)
+    remove(spark, path)
+    assert not (tmp_path / "table").exists()
+
+
 def test_shared_dir_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_dir(spark, "a"), shared_dir(spark, "a")

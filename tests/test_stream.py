@@ -4,10 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.fixtures import LEXICON, table
-from checks.queries import arriving
 from postflow.operators import cluster as K
 from postflow.operators.clean import flatten_posts
-from postflow.plans.analyse import analyse_posts, score_posts
+from postflow.plans.analyse import analyse_posts, classify_posts, score_posts
 from postflow.plans.curate import clean_live, clean_posts
 from postflow.sources import readers
 from postflow.sources.writers import collected_record
@@ -128,7 +127,9 @@ def test_analysis_stages(spark, analysis, posts):
     assert done.clusters.k in (3, 5)
     assert done.clusters.predictions.count() == done.classes.predictions.count() == test.count()
     assert done.classes.labelled.count() == train.count()
-    for stage in ("clean", "features", "clusters", "labelled", "classes"):
+    assert done.clusters.sizes.agg(F.sum("count")).first()[0] == test.count()
+    assert done.clusters.centres.count() == done.clusters.k
+    for stage in ("features", "clusters", "labelled", "classes"):
         assert not spark.read.parquet(f"{out}/{stage}").isEmpty()
 
 
@@ -148,8 +149,9 @@ def test_a_saved_model_scores_like_the_analysis(spark, analysis, posts, tmp_path
 
 def test_live_scoring_with_a_model(spark, analysis, posts, tmp_path):
     done, _ = analysis
-    out = str(tmp_path / "out")
-    stream = arriving(spark, SF_DIR)
+    out, source = str(tmp_path / "out"), str(tmp_path / "in")
+    collected_record(posts).repartition(4).write.json(source)
+    stream = readers.stream_posts(spark, source, None, files_per_batch=2)
     jobs.analyse_live(
         stream, out, str(tmp_path / "c"), None, LEXICON, model=done.model
     ).awaitTermination()
@@ -159,6 +161,42 @@ def test_live_scoring_with_a_model(spark, analysis, posts, tmp_path):
     assert scored.select("batch_id").distinct().count() > 1
 
 
+def test_an_empty_test_part_can_be_refit(spark, analysis, tmp_path):
+    done, _ = analysis
+    classes = classify_posts(
+        done.features.select("id", "text", "filtered_words"),
+        done.features.select("id", "text", "filtered_words").limit(0),
+        str(tmp_path / "out"),
+        LEXICON,
+        refit=True,
+    )
+    assert classes.predictions.isEmpty() and classes.labelled.count() == done.features.count()
+
+
+def test_a_stream_of_windows_needs_lateness(spark, tmp_path):
+    stream = spark.readStream.schema("ts timestamp").json(str(tmp_path))
+    with pytest.raises(ValueError):
+        window_counts(stream, "1 hour")
+
+
+def test_each_batch_is_read_once(spark, posts, tmp_path):
+    source = str(tmp_path / "in")
+    collected_record(posts).coalesce(1).write.json(source)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    stream = readers.stream_posts(spark, source, None).select("id").mapInArrow(counted, "id long")
+    jobs.run_batches(
+        stream, lambda batch, i: batch.write.mode("append").parquet(str(tmp_path / "out")), str(tmp_path / "c"), None
+    ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == posts.count()
+    assert seen.value <= posts.count()
+
+
 def test_nothing_to_learn_from(spark, posts, tmp_path):
     none = clean_posts(posts.filter("lang = 'xx'"))
     assert analyse_posts(none, str(tmp_path / "out"), LEXICON, grid=(2,)) is None

@@ -77,9 +77,29 @@ def test_track_many_phrases(spark):
     assert W.track_filter(df, phrases).count() == 1
 
 
-def test_track_needs_a_phrase(spark, posts):
+@pytest.mark.parametrize("phrases", [[], [" "], ["good", "!?"]])
+def test_track_needs_terms(posts, phrases):
     with pytest.raises(ValueError):
-        W.track_filter(posts, [" "])
+        W.track_filter(posts, phrases)
+
+
+@pytest.mark.parametrize(
+    "phrase, text, expected",
+    [
+        ("#Tag", "see #tag!", True),
+        ("#Tag", "see tag", False),
+        ("tag", "see #tag", True),
+        ("@bob", "hi @Bob,", True),
+        ("@bob", "hi bob", False),
+        ("@bob", "hi #bob", False),
+        ("e-mail", "an E-Mail", True),
+        ("e-mail", "an email", False),
+        ("U.S.", "in the U.S. today", True),
+        ("don't", "I DON'T", True),
+    ],
+)
+def test_track_punctuation(spark, phrase, text, expected):
+    assert one(spark, text, lambda c: X.matches_phrase(c, [phrase])) is expected
 
 
 def test_stop_words_of_other_languages(spark):
@@ -171,8 +191,24 @@ def test_word_vectors_average_as_the_model_does(spark):
             assert value == pytest.approx(expected[key], abs=1e-6)
 
 
-def test_a_vocabulary_too_large_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(W, "MAX_VOCABULARY", 2)
-    with pytest.raises(ValueError):
-        W.fit_word_vectors(words_by_id(spark))
-    assert W.fit_word_vectors(words_by_id(spark), min_count=4).getVectors().count() == 1
+def test_rows_that_share_an_id_stay_apart(spark):
+    rows = [(1, ["a", "a", "b"]), (1, ["a"])]
+    df = spark.createDataFrame(rows, "id long, filtered_words array<string>")
+    counts = W.term_counts(df)
+    assert sorted(map(tuple, counts.collect())) == [(1, "a", 1), (1, "a", 2), (1, "b", 1)]
+    for given in (None, counts):
+        weights = {r["term"]: (r["df"], r["idf"]) for r in W.idf_weights(df, counts=given).collect()}
+        assert weights == {"a": (2, 0.0), "b": (1, pytest.approx(math.log(3 / 2)))}
+    table = store(
+        spark.createDataFrame([("a", [3.0])], "word string, vector array<double>"),
+        shared_dir(spark, "vectors"),
+    )
+    means = sorted(r["vector"][0] for r in W.average_word_vectors(df, table, 1).collect())
+    assert means == [2.0, 3.0]
+
+
+def test_word_vectors_follow_the_input_alone(spark):
+    df = words_by_id(spark)
+    assert W.fit_word_vectors(df, min_count=4).getVectors().count() == 1
+    stage = W.fit_word_vectors(df)
+    assert stage.getNumPartitions() == W.fit_word_vectors(df.repartition(3)).getNumPartitions() == 4
