@@ -3,18 +3,19 @@
 Everything on the path is a DataFrame expression. Equal lines (after folding case and blanks)
 merge first. Lines within ``edits`` of each other are found by segment partition (Li et al.,
 "PASS-JOIN"): a line cut into ``edits + 1`` segments keeps one of them whole under that many
-edits. One segment of many variants of a line is the same, so the cut is made again in what is
-left: of ``2 * (edits + 1)`` segments all but ``edits`` stay whole, and a key holds those. Each
-line files its keys with its length, and probes the keys of lines of its length or up to
-``edits`` shorter, only at the shifts that so many edits can cause. Pairs that meet are verified:
-first most of a finer cut must recur in place, then a banded bit-parallel edit distance decides.
+edits, so each line files its own segments by length, number and content, and probes the
+segments of lines of its length or up to ``edits`` shorter, only at the positions that the
+multi-match-aware rule leaves. Where many variants of a line share a segment, the cut is made
+again in what is left: of ``2 * (edits + 1)`` segments all but ``edits`` stay whole, and lines
+that file or probe such a segment meet by those instead. Pairs that meet are verified: first most
+of a finer cut must recur in place, then a banded bit-parallel edit distance decides.
 """
 
 from __future__ import annotations
 
 from itertools import combinations, product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postflow.llm.common import by_position, components, keep_table, text_id
@@ -23,6 +24,7 @@ from postflow.llm.quality_rules import let
 EDITS = 1
 LEAST_LENGTH = 20
 FINE_SEGMENTS = 8
+BUCKET = 64
 
 
 def folded(line: Column) -> Column:
@@ -41,6 +43,30 @@ def segment(length: Column, number: int, segments: int) -> tuple[Column, Column]
     return start.cast("int"), (size + F.when(number > short, 1).otherwise(0)).cast("int")
 
 
+def segment_keys(line: Column, edits: int) -> Column:
+    """Keys under which ``line`` is found."""
+    n = F.length(line)
+    keys = []
+    for i in range(1, edits + 2):
+        start, size = segment(n, i, edits + 1)
+        keys.append(F.xxhash64(n, F.lit(i), line.substr(start, size)))
+    return F.array(*keys)
+
+
+def probe_keys(line: Column, edits: int) -> Column:
+    """Keys of the segments that a line of equal length, or up to ``edits`` shorter, may share."""
+    keys = []
+    for less in range(edits + 1):
+        n = (F.length(line) - less).cast("int")
+        for i in range(1, edits + 2):
+            start, size = segment(n, i, edits + 1)
+            low = max(-(i - 1), less - (edits + 1 - i))
+            high = min(i - 1, less + (edits + 1 - i))
+            for shift in range(low, high + 1):
+                keys.append(F.xxhash64(n, F.lit(i), line.substr(start + shift, size)))
+    return F.array(*keys)
+
+
 def left_out(edits: int) -> list[tuple[int, ...]]:
     """The sets of ``edits`` segments, of twice ``edits + 1``, that a key does without."""
     return list(combinations(range(1, 2 * (edits + 1) + 1), edits))
@@ -58,14 +84,14 @@ def _key(line: Column, length: Column, gone: tuple[int, ...], shifts: tuple[int,
     return F.xxhash64(length, F.lit("".join(map(str, gone))), *parts)
 
 
-def segment_keys(line: Column, edits: int) -> Column:
-    """Keys under which ``line`` is found."""
+def whole_keys(line: Column, edits: int) -> Column:
+    """Keys of all segments but ``edits``, under which ``line`` is found."""
     none = (0,) * (edits + 1)
     return F.array(*[_key(line, F.length(line), gone, none) for gone in left_out(edits)])
 
 
-def probe_keys(line: Column, edits: int) -> Column:
-    """Keys of the segments that a line of equal length, or up to ``edits`` shorter, may share.
+def whole_probes(line: Column, edits: int) -> Column:
+    """The :func:`whole_keys` that a line of equal length, or up to ``edits`` shorter, may share.
 
     The runs before the first and after the last edit lie at the line's ends, so their shifts are
     0 and the difference in length; between them all shifts that ``edits`` can cause are asked.
@@ -187,16 +213,32 @@ def line_table(docs: DataFrame, least_length: int = LEAST_LENGTH) -> DataFrame:
     return lines.withColumn("id", text_id(F.col("line")))
 
 
-def close_lines(distinct: DataFrame, edits: int = EDITS) -> DataFrame:
-    """``(a, b)``: ids of different lines within ``edits``, from ``(h, g, line)``."""
-    line = F.col("line")
-    filed = distinct.select(
-        F.col("h").alias("ha"), F.col("g").alias("ga"), F.explode(segment_keys(line, edits)).alias("key")
+def close_lines(distinct: DataFrame, edits: int = EDITS, bucket: int = BUCKET) -> DataFrame:
+    """``(a, b)``: ids of different lines within ``edits``, from ``(h, g, line)``.
+
+    A segment that more than ``bucket`` lines file is not looked at by itself.
+    """
+    def filed(lines: DataFrame, keys) -> DataFrame:
+        key = F.explode(keys(F.col("line"), edits)).alias("key")
+        return lines.select(F.col("h").alias("ha"), F.col("g").alias("ga"), key)
+
+    def asked(lines: DataFrame, keys) -> DataFrame:
+        key = F.explode(keys(F.col("line"), edits)).alias("key")
+        return lines.select(F.col("h").alias("hb"), F.col("g").alias("gb"), key)
+
+    probes = asked(distinct, probe_keys)
+    sized = filed(distinct, segment_keys).withColumn(
+        "n", F.count("*").over(Window.partitionBy("key"))
     )
-    asked = distinct.select(
-        F.col("h").alias("hb"), F.col("g").alias("gb"), F.explode(probe_keys(line, edits)).alias("key")
+    met = sized.filter(F.col("n") <= bucket).drop("n").join(probes, "key")
+    # A line probes its own segments too, so this finds the lines on both sides of a large bucket.
+    large = sized.filter(F.col("n") > bucket).select("key").distinct()
+    many = probes.join(large, "key", "left_semi").select(
+        F.col("hb").alias("h"), F.col("gb").alias("g")
     )
-    met = filed.join(asked, "key").filter("ha != hb or ga != gb")
+    crowd = distinct.join(many.distinct(), ["h", "g"])
+    met = met.unionByName(filed(crowd, whole_keys).join(asked(crowd, whole_probes), "key"))
+    met = met.filter("ha != hb or ga != gb")
     # Of two lines of equal length either may have asked; distinct() keeps a pair once.
     turned = F.struct("ha", "ga") > F.struct("hb", "gb")
     pairs = met.select(

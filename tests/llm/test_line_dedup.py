@@ -92,6 +92,20 @@ def test_report_against_brute_force(spark, edits):
         assert [tuple(x) for x in r["dropped"]] == expected.get(r["doc_id"], []), r["doc_id"]
 
 
+@pytest.mark.parametrize("edits", [1, 2])
+def test_crowded_segments_lose_no_link(spark, edits):
+    rng = random.Random(20 + edits)
+    base = "".join(rng.choices("abcdefgh ", k=40))
+    lines = sorted({folded(edited(rng, base, rng.randint(0, 3))) for _ in range(120)})
+    table = spark.createDataFrame([(i, 0, x) for i, x in enumerate(lines)], "h long, g long, line string")
+    expected = {
+        (i, j) for j in range(len(lines)) for i in range(j) if distance(lines[i], lines[j]) <= edits
+    }
+    for bucket in (1, 1000):
+        got = L.close_lines(table, edits, bucket).collect()
+        assert {tuple(sorted((r["a"]["h"], r["b"]["h"]))) for r in got} == expected
+
+
 def test_dropping(spark):
     given = odd(spark)
     kept = L.drop_repeated_lines(given)
