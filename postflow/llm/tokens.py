@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -35,7 +35,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple]:
-    """``(rows, data, offsets)``: row slices whose ``column`` holds a few megabytes of bytes.
+    """``(rows, data, offsets)``: row slices whose ``column`` holds about a megabyte.
 
     A longer text is a slice of its own; null counts as empty. ``data[offsets[i]:offsets[i + 1]]``
     are the bytes of row i of the slice.
