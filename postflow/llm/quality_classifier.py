@@ -78,9 +78,7 @@ def _contexts(batches):
                 for own, other in ((cell[step:], cell[:-step]), (cell[:-step], cell[step:])):
                     own, other = own[same] * SIZE, other[same]
                     for k in range(NONZERO):
-                        spot, sign = own + places[other, k], signs[other, k]
-                        plus = np.bincount(spot[sign > 0], minlength=len(total))
-                        total += plus - np.bincount(spot[sign < 0], minlength=len(total))
+                        np.add.at(total, own + places[other, k], signs[other, k])
     table = total.reshape(-1, SIZE)
     used = np.flatnonzero(table.any(axis=1))
     if len(used):
