@@ -199,6 +199,7 @@ def _bigrams(batches, frequent: np.ndarray):
 def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarray:
     """A class for each unit; the last unit, the end of text, is alone in class 0.
 
+    The most frequent units start with a class each, the others share the last.
     A unit leaves its class for the one that gives the class bigrams the largest likelihood,
     sum of n log n over pairs less the sums over first and over second classes, until a round
     moves none.
@@ -208,11 +209,14 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndar
     of = np.zeros(units, dtype=int)
     order = [u for u in np.argsort(-weight, kind="stable") if u != units - 1]
     for place, unit in enumerate(order):
-        of[unit] = 1 + place % max(1, classes - 1)
+        of[unit] = min(1 + place, classes - 1)
     one = np.eye(classes)[of]
     pair = one.T @ bigrams @ one
     after, before = bigrams @ one, (bigrams.T @ one)
     diagonal = np.diag(bigrams)
+    # Class counts as first and as second of a pair: they don't depend on the other's class.
+    outs, ins = bigrams.sum(axis=1), bigrams.sum(axis=0)
+    first, second = one.T @ outs, one.T @ ins
 
     def f(x):
         return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
@@ -229,8 +233,9 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndar
             pair[own, :] -= right
             pair[:, own] -= left
             pair[own, own] -= self_
-            first, second = pair.sum(axis=1), pair.sum(axis=0)
-            out, into = right.sum() + self_, left.sum() + self_
+            out, into = outs[unit], ins[unit]
+            first[own] -= out
+            second[own] -= into
             rows = f(pair + right[None, :]) - f(pair)
             columns = f(pair + left[:, None]) - f(pair)
             corner = np.diag(pair)
@@ -251,6 +256,8 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndar
             pair[best, :] += right
             pair[:, best] += left
             pair[best, best] += self_
+            first[best] += out
+            second[best] += into
             if best != own:
                 moved += 1
                 of[unit] = best
