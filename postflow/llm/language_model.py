@@ -1,10 +1,12 @@
 """LM scoring with a class-based n-gram model (Brown et al., clusters by exchange).
 
 A text's probability is the product over its words of p(class | class before) and
-p(word | class). Frequent words are units of their own, and there are at most ``1 / SHARE`` of
-them in any corpus, since each has at least that share of all words; other words belong to the
-unit of their ending. The exchange algorithm (Martin, Liermann and Ney) moves units between
-classes while the likelihood of the class bigrams grows.
+p(word | class). Every word seen ``LEAST_COUNT`` times or more is a unit of its own; rarer and
+unseen words belong to the unit of their ending. The exchange algorithm (Martin, Liermann and Ney)
+moves units between classes while the likelihood of the class bigrams grows. It starts on the
+driver, with the words that have at least ``SHARE`` of all words (at most ``1 / SHARE`` in any
+corpus) and the endings of all others; then all units move in parallel, by halves, each by the
+counts of its neighbours' classes, while the likelihood of the whole grows.
 
 Texts are cut into chunks of a bounded number of words. A chunk stores its distinct words once and
 its texts as numbers; word counts travel as (word, count) once for each chunk, and come back as
@@ -14,12 +16,13 @@ more than a chunk.
 
 from __future__ import annotations
 
+import gc
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postflow.llm import tokens as K
@@ -27,9 +30,11 @@ from postflow.llm.common import keep_table, remainder, small_batches
 
 CHUNK_WORDS = 3_000_000
 SHARE = 0.001
+LEAST_COUNT = 3
 ENDINGS = 64
 CLASSES = 48
 ROUNDS = 8
+HALVES = 4
 PRIOR = 5.0
 
 CHUNK = (
@@ -196,6 +201,10 @@ def _bigrams(batches, frequent: np.ndarray):
         )
 
 
+def _f(x):
+    return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
+
+
 def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarray:
     """A class for each unit; the last unit, the end of text, is alone in class 0.
 
@@ -218,9 +227,7 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndar
     outs, ins = bigrams.sum(axis=1), bigrams.sum(axis=0)
     first, second = one.T @ outs, one.T @ ins
 
-    def f(x):
-        return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
-
+    f = _f
     for _ in range(rounds):
         moved = 0
         for unit in order:
@@ -270,63 +277,265 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndar
     return of
 
 
+def likelihood(pair: np.ndarray) -> float:
+    """Log likelihood of class bigrams, but for what no class changes."""
+    return float(_f(pair).sum() - _f(pair.sum(axis=0)).sum() - _f(pair.sum(axis=1)).sum())
+
+
+def gains(right, left, self_, own, pair) -> np.ndarray:
+    """``(units, classes)``: what :func:`exchange` gains by a unit in a class, over one in none.
+
+    ``right`` and ``left`` are counts of the classes after and before each unit, ``self_`` of the
+    unit after itself, which both hold too; ``pair`` are the class bigrams with the unit in ``own``.
+    """
+    units, classes = np.arange(len(own)), np.arange(pair.shape[0])
+    right, left = right.astype(float), left.astype(float)
+    self_ = self_.astype(float)
+    out, into = right.sum(axis=1), left.sum(axis=1)
+    right[units, own] -= self_
+    left[units, own] -= self_
+    gain = np.zeros(right.shape)
+    for side, other, table in ((right, left, pair), (left, right, pair.T)):
+        unit, near = np.nonzero(side)
+        at = own[unit]
+        # The classes without this unit.
+        base = table[:, near].T - (near == at)[:, None] * other[unit]
+        mine = np.arange(len(unit))
+        base[mine, at] -= side[unit, near] + (near == at) * self_[unit]
+        np.add.at(gain, unit, _f(base + side[unit, near][:, None]) - _f(base))
+    is_own = classes[None, :] == own[:, None]
+    both = right + left
+    corner = np.diag(pair)[None, :] - is_own * (both + self_[:, None])
+    gain += (
+        _f(corner + both + self_[:, None]) + _f(corner) - _f(corner + right) - _f(corner + left)
+    )
+    for total, count in ((pair.sum(axis=1), out), (pair.sum(axis=0), into)):
+        rest = total[None, :] - is_own * count[:, None]
+        gain -= _f(rest + count[:, None]) - _f(rest)
+    return gain
+
+
+def _choose(batches, pair: np.ndarray, half: int):
+    """The class of each unit; units of one half, by a hash, go where the gain is largest."""
+    classes = pair.shape[0]
+    for batch in batches:
+        own = batch.column(2).to_numpy().astype(int)
+        lists = batch.column(3)
+        flat = lists.flatten()
+        row = np.repeat(np.arange(len(own)), np.diff(lists.offsets.to_numpy()))
+        counts = np.zeros((len(own), 2 * classes + 1))
+        counts[row, flat.field(0).to_numpy()] = flat.field(1).to_numpy()
+        gain = gains(counts[:, :classes], counts[:, classes:-1], counts[:, -1], own, pair)
+        gain[:, 0] = -np.inf
+        best = gain.argmax(axis=1)
+        mine = np.arange(len(own))
+        turn = K.mixed(batch.column(1).to_numpy().view(np.uint64)) & np.uint64(1) == np.uint64(half)
+        best = np.where(turn & (gain[mine, best] > gain[mine, own] + 1e-9), best, own)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(best.astype(np.int32))],
+            names=["kind", "word", "class"],
+        )
+
+
+WORD, ENDING, END = 0, 1, 2
+
+
+def _classes(row: dict, words: np.ndarray, answers: pa.Table, of_ending: np.ndarray) -> tuple:
+    """Class of each word of a chunk and of the end of text, and which have one by their ending."""
+    of = of_ending[np.frombuffer(row["endings"], np.uint8)]
+    rare = np.ones(len(words), bool)
+    found = answers["class"].to_numpy()
+    known = ~np.isnan(found)
+    number = answers["number"].to_numpy()[known]
+    of[number] = found[known].astype(int)
+    rare[number] = False
+    return np.append(of, 0), np.append(rare, False)
+
+
+def _sequence(row: dict) -> tuple:
+    number, document, words = _texts(row)
+    before = np.concatenate([[len(words)], number[:-1]])
+    train = ~np.array(row["held"], dtype=bool)[document]
+    return before[train], number[train], words
+
+
+def _pairs(key, chunks: pa.Table, answers: pa.Table, of_ending: np.ndarray, classes: int):
+    total = np.zeros(classes * classes, np.int64)
+    for row in chunks.to_pylist():
+        before, number, words = _sequence(row)
+        of, _ = _classes(row, words, answers, of_ending)
+        total += np.bincount(of[before] * classes + of[number], minlength=len(total))
+    used = np.flatnonzero(total)
+    return pa.table({"own": used // classes, "key": used % classes, "n": total[used]})
+
+
+def _neighbours(key, chunks: pa.Table, answers: pa.Table, of_ending: np.ndarray, classes: int):
+    """For each unit the classes after it, those before it, and itself after itself."""
+    made = [pa.table({n: pa.array([], t) for n, t in NEIGHBOURS})]
+    for row in chunks.to_pylist():
+        before, number, words = _sequence(row)
+        of, rare = _classes(row, words, answers, of_ending)
+        endings = np.frombuffer(row["endings"], np.uint8).astype(np.int64)
+        unit = np.arange(len(words) + 1)
+        unit[rare] = len(words) + 1 + endings[rare[:-1]]
+        first, second = unit[before], unit[number]
+        keys = 2 * classes + 1
+        codes, counts = np.unique(
+            np.concatenate(
+                [
+                    first * keys + of[number],
+                    second * keys + classes + of[before],
+                    first[first == second] * keys + 2 * classes,
+                ]
+            ),
+            return_counts=True,
+        )
+        who = codes // keys
+        kind = np.where(who < len(words), WORD, np.where(who == len(words), END, ENDING))
+        names = np.concatenate([words.view(np.int64), [0], np.arange(ENDINGS)])
+        made.append(
+            pa.table(
+                {
+                    "kind": pa.array(kind.astype(np.int32)),
+                    "word": pa.array(names[who]),
+                    "own": pa.array(np.concatenate([of, of_ending])[who].astype(np.int32)),
+                    "key": pa.array((codes % keys).astype(np.int32)),
+                    "n": pa.array(counts.astype(np.int64)),
+                }
+            )
+        )
+    return pa.concat_tables(made)
+
+
+NEIGHBOURS = [
+    ("kind", pa.int32()), ("word", pa.int64()), ("own", pa.int32()), ("key", pa.int32()), ("n", pa.int64()),
+]
+
+
+def _matrix(rows: list, classes: int) -> np.ndarray:
+    pair = np.zeros((classes, classes))
+    for own, key, n in rows:
+        pair[own, key] = n
+    return pair
+
+
+def _release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of passes whose result is stored."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def all_classes(chunks: DataFrame, units: DataFrame, of_ending: np.ndarray, classes: int, halves: int = HALVES):
+    """``(units, of_ending, pair)`` after exchange of all units in parallel.
+
+    ``units (word, class)`` are the words that are units, ``of_ending`` the classes of the others.
+    Half of the units move at a time, by counts taken before any of them did. A turn that lowers
+    the likelihood is taken back and ends the exchange.
+    """
+    spark = chunks.sparkSession
+    each = chunk_words(chunks).filter("n > 0").select("word", "chunk", "number")
+    rows = chunks.select("chunk", "held", "lengths", "ids", "words", "endings").groupBy("chunk")
+    best = None
+    for turn in range(halves + 1):
+        answers = each.join(units, "word").select(
+            "chunk", "number", F.col("class").cast("double").alias("class")
+        )
+        both = rows.cogroup(answers.groupBy("chunk"))
+
+        def counted(fn, of=of_ending):
+            return lambda key, left, right: fn(key, left, right, of, classes)
+
+        if turn == halves:
+            made = both.applyInArrow(counted(_pairs), "own long, key long, n long")
+        else:
+            made = both.applyInArrow(counted(_neighbours), "kind int, word long, own int, key int, n long")
+            made = made.repartition("word").groupBy("kind", "word", "own", "key").agg(F.sum("n").alias("n"))
+            made = made.groupBy("kind", "word", "own").agg(F.collect_list(F.struct("key", "n")).alias("near"))
+            near = keep_table(made, "lm_neighbours")
+            made = near.select("own", F.inline("near")).filter(F.col("key") < classes)
+        pair = _matrix(made.groupBy("own", "key").agg(F.sum("n")).collect(), classes)
+        value = likelihood(pair)
+        if best and value <= best[0]:
+            break
+        best = value, units, of_ending, pair
+        if turn < halves:
+            chosen = near.filter(F.col("kind") != END).select("kind", "word", "own", "near").mapInArrow(
+                partial(_choose, pair=pair, half=turn % 2), "kind int, word long, class int"
+            )
+            chosen = keep_table(chosen, "lm_classes")
+            units = chosen.filter(F.col("kind") == WORD).select("word", "class")
+            of_ending = of_ending.copy()
+            for r in chosen.filter(F.col("kind") == ENDING).collect():
+                of_ending[r["word"]] = r["class"]
+        del made, both, answers
+        _release(spark)
+    return best[1:]
+
+
 class Model:
-    """Class of each unit, and log10 tables; all of a size that the corpus doesn't change."""
+    """Class of each starting unit, and log10 tables by class; all of a size that the corpus doesn't change.
+
+    Made from the frequent words and the endings; :meth:`refine` gives it the classes of all units.
+    """
 
     def __init__(self, frequent, frequent_counts, endings, bigrams, texts, words, distinct, classes):
         """``endings``: ending -> (words, distinct words, words seen once, words seen twice)."""
-        self.frequent = frequent
         self.total = int(words + texts)
         self.distinct = int(distinct + (texts > 0))
+        self.texts = int(texts)
         units = len(frequent) + ENDINGS + 1
         self.of = exchange(bigrams, classes) if bigrams.sum() else np.zeros(units, dtype=int)
         one = np.eye(classes)[self.of]
-        pair = one.T @ bigrams @ one
+        emitted = [(c, n, 1, 0, 0) for c, n in zip(self.of, frequent_counts)]
+        emitted += [(self.of[len(frequent) + e], *n) for e, n in endings.items()]
+        self.refine(self.of[len(frequent) : -1], one.T @ bigrams @ one, emitted)
+
+    def refine(self, of_ending, pair, emitted) -> None:
+        """``emitted``: rows of class, words, distinct words, words seen once, words seen twice."""
+        classes = len(pair)
+        self.of_ending = of_ending
         share = (pair.sum(axis=0) + 1) / (pair.sum() + classes)
         self.step = np.log10(
             (pair + PRIOR * share[None, :]) / (pair.sum(axis=1, keepdims=True) + PRIOR)
         )
         # Absolute discounting: what is taken from seen words is left to one unseen word.
         mass, kinds, once, twice = (np.zeros(classes) for _ in range(4))
-        np.add.at(mass, self.of[: len(frequent)], frequent_counts)
-        np.add.at(kinds, self.of[: len(frequent)], 1)
-        for ending, (n, v, n1, n2) in endings.items():
-            c = self.of[len(frequent) + ending]
+        for c, n, v, n1, n2 in emitted:
             mass[c] += n
             kinds[c] += v
             once[c] += n1
             twice[c] += n2
-        mass[self.of[-1]] += texts
+        mass[self.of[-1]] += self.texts
         kinds[self.of[-1]] += 1
         self.cut = np.where(once > 0, np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.9), 0.5)
+        # Unseen words have the class of their ending, so other classes leave nothing to them.
+        self.cut[np.setdiff1d(np.arange(classes), of_ending)] = 0
         self.mass = np.maximum(mass, 1)
         unseen = self.cut * np.maximum(kinds, 1) / self.mass
-        self.unseen = np.log10(np.minimum(unseen, 1))
-        self.texts = int(texts)
+        self.unseen = np.log10(np.clip(unseen, 1e-300, 1))
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.total + self.distinct + 1))
 
     def emitted(self, units: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        c = self.of[units]
-        seen = np.log10(np.maximum(counts - self.cut[c], 0.05) / self.mass[c])
-        return np.where(counts > 0, seen, self.unseen[c])
+        return self.emitted_by(self.of[units], counts)
 
+    def emitted_by(self, of: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        seen = np.log10(np.maximum(counts - self.cut[of], 0.05) / self.mass[of])
+        return np.where(counts > 0, seen, self.unseen[of])
 
-def _score(key, chunks: pa.Table, answers: pa.Table, model: Model, frequent_counts: np.ndarray):
+
+def _score(key, chunks: pa.Table, answers: pa.Table, model: Model):
     out = []
     for row in chunks.to_pylist():
         number, document, words = _texts(row)
-        unit = _units(words, np.frombuffer(row["endings"], np.uint8), model.frequent)
         counts = np.zeros(len(words), np.int64)
         counts[answers["number"].to_numpy()] = answers["c"].to_numpy()
-        known = unit < len(model.frequent)
-        counts[known] = frequent_counts[unit[known]]
-        unit = np.append(unit, len(model.frequent) + ENDINGS)
         counts = np.append(counts, model.texts)
-        base, own, of = model.base(counts), model.emitted(unit, counts), model.of[unit]
+        of, _ = _classes(row, words, answers, model.of_ending)
+        base, own = model.base(counts), model.emitted_by(of, counts)
         at = of[number]
-        before = np.concatenate([[model.of[-1]], at[:-1]])
+        before = np.concatenate([[0], at[:-1]])
         score = own[number] + model.step[before, at]
         n = len(row["doc_ids"])
         base_score = np.bincount(document, base[number], n)
@@ -376,6 +585,7 @@ def score_documents(
     cover the words and one end of text, and treat an unseen word as one word more. A null text
     counts as empty: it has the end only. Without training rows ``score`` is ``base_score``.
     """
+    spark = docs.sparkSession
     held = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
     rows = docs.select("doc_id", held.alias("held_out"), "text")
     texts = rows.filter(~F.col("held_out")).count()
@@ -410,15 +620,31 @@ def score_documents(
     model = Model(
         frequent, frequent_counts, endings, bigrams.reshape(units, units), texts, words, distinct, classes
     )
-    # Frequent words are in the model; the others ask for their counts.
-    asked = each.select("word", "chunk", "number").join(
-        F.broadcast(counts.filter(F.col("c") >= least).select("word")), "word", "left_anti"
+    # Words that are units start in the class that their place among the frequent or ending has.
+    own = counts.filter(F.col("c") >= min(LEAST_COUNT, least))
+    given = [(int(w), int(c)) for w, c in zip(frequent.view(np.int64), model.of)]
+    named = spark.createDataFrame(given, "word long, own int")
+    starts = F.element_at(F.array(*[F.lit(int(c)) for c in model.of_ending]), F.col("ending") + 1)
+    own = own.join(F.broadcast(named), "word", "left").select(
+        "word", F.coalesce("own", starts).alias("class")
+    )
+    own = keep_table(own, "lm_classes")
+    classed = counts.withColumn("class", F.lit(None).cast("int"))
+    if bigrams.any():
+        own, of_ending, pair = all_classes(chunks, own, model.of_ending, classes)
+        classed = keep_table(counts.join(own, "word", "left").select("word", "ending", "c", "class"), "lm_classed")
+        other = F.element_at(F.array(*[F.lit(int(c)) for c in of_ending]), F.col("ending") + 1)
+        sums = classed.groupBy(F.coalesce("class", other).alias("class")).agg(
+            F.sum("c"), F.count("*"), once, twice
+        )
+        model.refine(of_ending, pair, sums.collect())
+    answers = each.select("word", "chunk", "number").join(classed, "word").select(
+        "chunk", "number", "c", F.col("class").cast("double").alias("class")
     )
-    answers = asked.join(rare.select("word", "c"), "word").select("chunk", "number", "c")
     names = ["chunk", "doc_ids", "held", "lengths", "ids", "words", "endings"]
     together = chunks.select(*names).groupBy("chunk").cogroup(answers.groupBy("chunk"))
     return together.applyInArrow(
-        lambda key, left, right: _score(key, left, right, model, frequent_counts),
+        lambda key, left, right: _score(key, left, right, model),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double",
     )

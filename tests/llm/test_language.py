@@ -125,3 +125,40 @@ def test_lm_without_training(spark):
     found = L.score_documents(docs(spark, rows)).collect()
     assert {(r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in found} == {(0, 0, 0.0, 0.0)}
     assert L.score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_gains_are_those_of_the_likelihood():
+    rng = np.random.default_rng(4)
+    units, classes = 14, 5
+    bigrams = rng.poisson(1.5, (units, units)).astype(float)
+    of = rng.integers(0, classes, units)
+
+    def pairs(of):
+        one = np.eye(classes)[of]
+        return one.T @ bigrams @ one
+
+    one = np.eye(classes)[of]
+    found = L.gains(bigrams @ one, bigrams.T @ one, np.diag(bigrams), of, pairs(of))
+    for unit in range(units):
+        for c in range(classes):
+            moved = of.copy()
+            moved[unit] = c
+            expected = L.likelihood(pairs(moved)) - L.likelihood(pairs(of))
+            assert abs(found[unit, c] - found[unit, of[unit]] - expected) < 1e-6
+
+
+def test_words_that_are_not_frequent_have_classes_of_their_own(spark):
+    # Words of both kinds end alike, and each is under a thousandth of all; what stands before tells.
+    rng = np.random.default_rng(6)
+    first, second = ([f"{k}{i:03d}" for i in range(700)] * 6 for k in "ab")
+    rng.shuffle(first)
+    rng.shuffle(second)
+    pairs = list(zip(first, second))
+    is_held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    train = [i for i in range(1000) if not is_held(i)][:210]
+    rows = [(i, " ".join(f"the {a} of {b}" for a, b in pairs[20 * k : 20 * k + 20])) for k, i in enumerate(train)]
+    right, wrong = [i for i in range(1000) if is_held(i)][:2]
+    rows.append((right, " ".join(f"the {a} of {b}" for a, b in pairs[::100])))
+    rows.append((wrong, " ".join(f"the {b} of {a}" for a, b in pairs[::100])))
+    score = {r["doc_id"]: r["score"] for r in L.score_documents(docs(spark, rows)).collect()}
+    assert score[right] > score[wrong] + 20
