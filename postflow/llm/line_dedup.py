@@ -1,7 +1,8 @@
 """Line dedup: lines within a few edits of an earlier line are dropped.
 
 Everything on the path is a DataFrame expression. Equal lines (after folding case and blanks)
-merge first. Lines within ``edits`` of each other are found by segment partition (Li et al.,
+merge first, whatever their length. Lines within ``edits`` of each other
+are found by segment partition (Li et al.,
 "PASS-JOIN"): a line cut into ``edits + 1`` segments keeps one of them whole under that many
 edits, so each line files its own segments by length, number and content, and probes the
 segments of lines of its length or up to ``edits`` shorter, only at the positions that the
@@ -21,8 +22,11 @@ from pyspark.sql import functions as F
 from postflow.llm.common import by_position, components, keep_table, text_id
 from postflow.llm.quality_rules import let
 
-EDITS = 1
-LEAST_LENGTH = 20
+# Edits allowed between lines, the shorter of which has so many characters.
+EDITS = ((20, 1),)
+LEAST_LENGTH = 1
+LEAST_WITHOUT_WORD = 20
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 FINE_SEGMENTS = 8
 BUCKET = 64
 
@@ -201,19 +205,40 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
 
 
 def line_table(docs: DataFrame, least_length: int = LEAST_LENGTH) -> DataFrame:
-    """``(doc_id, doc, pos, line, id)`` of the lines long enough to count, folded."""
+    """``(doc_id, doc, pos, line, id)`` of the lines long enough to count, folded.
+
+    Lines without a word count from ``LEAST_WITHOUT_WORD`` characters: short ones are brackets,
+    rules and blanks, which belong to what stands around them.
+    """
     lines = docs.select(
         "doc_id",
         text_id(F.col("text")).alias("doc"),
         F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "raw"),
     )
     lines = lines.filter(F.length("raw") >= least_length)
-    lines = lines.select("doc_id", "doc", "pos", folded(F.col("raw")).alias("line"))
+    lines = lines.select("doc_id", "doc", "pos", "raw", folded(F.col("raw")).alias("line"))
     lines = lines.filter(F.length("line") >= least_length)
+    bare = ~F.col("line").rlike(WORD) & (
+        F.least(F.length("raw"), F.length("line")) < LEAST_WITHOUT_WORD
+    )
+    lines = lines.filter(~bare).drop("raw")
     return lines.withColumn("id", text_id(F.col("line")))
 
 
-def close_lines(distinct: DataFrame, edits: int = EDITS, bucket: int = BUCKET) -> DataFrame:
+def near_lines(distinct: DataFrame, edits: tuple = EDITS, bucket: int = BUCKET) -> DataFrame:
+    """``(a, b)`` as :func:`close_lines`, with the edits that the shorter line's length allows."""
+    found = None
+    for (least, allowed), upper in zip(edits, [*[low for low, _ in edits[1:]], None]):
+        lines = distinct.filter(F.length("line") >= max(least, allowed + 1))
+        if upper is not None:
+            # The longer line of a pair may reach into the next class.
+            lines = lines.filter(F.length("line") < upper + allowed)
+        pairs = close_lines(lines, allowed, bucket)
+        found = pairs if found is None else found.unionByName(pairs)
+    return found
+
+
+def close_lines(distinct: DataFrame, edits: int, bucket: int = BUCKET) -> DataFrame:
     """``(a, b)``: ids of different lines within ``edits``, from ``(h, g, line)``.
 
     A segment that more than ``bucket`` lines file is not looked at by itself.
@@ -263,14 +288,16 @@ def close_lines(distinct: DataFrame, edits: int = EDITS, bucket: int = BUCKET) -
 
 
 def repeated_lines(
-    docs: DataFrame, edits: int = EDITS, least_length: int = LEAST_LENGTH
+    docs: DataFrame, edits: int | tuple = EDITS, least_length: int = LEAST_LENGTH
 ) -> DataFrame:
     """``(doc_id, doc, pos, first)``: the lines to drop, and the line of their class that stays.
 
     Classes are the components of the links, exact copies included. The first line by doc_id,
     text and position stays (a null doc_id comes last); ``first`` holds its place. Lines shorter
-    than ``least_length`` characters are no business of this operator. Rows that repeat both
-    doc_id and text are one document: they keep the same lines.
+    than ``least_length`` characters are no business of this operator. ``edits`` are pairs of a
+    length and the edits allowed from there on, or one number for all lines; lines below the first
+    length meet as exact copies only. Rows that repeat both doc_id and text are one document: they
+    keep the same lines.
     """
     lines = line_table(docs, least_length)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc", "pos")
@@ -281,7 +308,8 @@ def repeated_lines(
     distinct = lines.select("id.h", "id.g", "line").groupBy("h", "g").agg(
         F.first("line").alias("line")
     )
-    links = keep_table(close_lines(distinct, edits), "line_links")
+    steps = ((least_length, edits),) if isinstance(edits, int) else edits
+    links = keep_table(near_lines(distinct, steps), "line_links")
     roots = keep_table(components(links), "line_classes")
     near = counted.join(
         roots.select("node.h", "node.g", "root"), ["h", "g"]
@@ -308,7 +336,7 @@ def _by_document(dropped: DataFrame) -> DataFrame:
 
 
 def line_report(
-    docs: DataFrame, edits: int = EDITS, least_length: int = LEAST_LENGTH
+    docs: DataFrame, edits: int | tuple = EDITS, least_length: int = LEAST_LENGTH
 ) -> DataFrame:
     """``(doc_id, n_lines, n_dropped, dropped)``, a row for each row of ``docs``.
 
@@ -329,7 +357,7 @@ def line_report(
 
 
 def drop_repeated_lines(
-    docs: DataFrame, edits: int = EDITS, least_length: int = LEAST_LENGTH
+    docs: DataFrame, edits: int | tuple = EDITS, least_length: int = LEAST_LENGTH
 ) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one, columns as they are.
 

@@ -124,3 +124,11 @@ def test_dropping(spark):
 def test_the_path_is_native(spark):
     plan = L.line_report(docs(spark, [(1, "x")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_copies_go_and_near_short_lines_stay(spark):
+    rows = [(1, "and ornd.\nyes\n--\nrow 12"), (2, "And  ornd.\nno\n--\nrow 13"), (3, "other\nYES \n\n}")]
+    kept = L.drop_repeated_lines(docs(spark, rows)).select("doc_id", "text").collect()
+    assert {tuple(r) for r in kept} == {
+        (1, "and ornd.\nyes\n--\nrow 12"), (2, "no\n--\nrow 13"), (3, "other\n\n}")
+    }
