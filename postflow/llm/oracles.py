@@ -59,3 +59,50 @@ select w.conv_id, w.n_turns, k.p is not null as kept,
   case when k.p is not null then cast(w.chars as bigint) else 0 end as n_chars
 from whole w left join kept k on w.conv_id is not distinct from k.conv_id join starts s on s.p = w.p
 """
+
+# All orders walked one document at a time.
+ORACLES["op13_filter_audit"] = r"""
+with letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+doc as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+first as (select t, min(doc_id) as first_id from doc group by t),
+label as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good,
+    max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels group by doc_id),
+fails as (
+  select row_number() over () as r, part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+    (case when len(w) < 200 then 'A' else '' end)
+    || (case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end)
+    || (case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) then 'C' else '' end)
+    || (case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end)
+    || (case when doc.doc_id > first_id then 'E' else '' end) as f
+  from doc join first using (t) left join label on doc.doc_id = label.doc_id),
+steps as (select filter_order, unnest([1, 2, 3, 4, 5]) as step from orders),
+gone as (
+  select r, filter_order, min(step) as gone_at
+  from fails, steps where contains(f, substring(filter_order, step, 1)) group by r, filter_order),
+each as (
+  select part, s.filter_order, s.step, substring(s.filter_order, s.step, 1) as letter,
+    case when gone_at is null or gone_at > s.step then 1 else 0 end as kept,
+    case when gone_at = s.step then 1 else 0 end as removed,
+    case when gone_at < s.step and contains(f, substring(s.filter_order, s.step, 1)) then 1 else 0 end as redundant,
+    case when f = substring(s.filter_order, s.step, 1) then 1 else 0 end as unique_fails, good, toxic
+  from fails cross join steps s
+  left join gone on gone.r = fails.r and gone.filter_order = s.filter_order),
+rows as (
+  select part, filter_order, step, letter,
+    cast(sum(kept) as bigint) as kept, cast(sum(removed) as bigint) as removed,
+    cast(sum(redundant) as bigint) as redundant, cast(sum(unique_fails) as bigint) as unique_fails,
+    cast(sum(removed * good) as bigint) as good_lost, cast(sum(removed * toxic) as bigint) as toxic_lost
+  from each group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  cast(sum(removed) over (partition by part, letter) as bigint) as shapley
+from rows
+"""

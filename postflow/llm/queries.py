@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postflow.llm import (
     chat,
     decontaminate,
+    filter_audit,
     language_id,
     language_model,
     licenses,
@@ -123,3 +124,10 @@ def op10_minhash_near_dedup(spark, sf_dir):
     rows = rows.select(F.col("doc_id").alias("id"), F.col("i.h").alias("hi"), F.col("i.g").alias("gi"))
     match = rows["id"].eqNullSafe(found["doc_id"]) & (rows["hi"] == found["h"]) & (rows["gi"] == found["g"])
     return rows.join(found, match).select(F.col("id").alias("doc_id"), "class_id")
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit_filters(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
