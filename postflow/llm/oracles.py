@@ -60,6 +60,53 @@ select w.conv_id, w.n_turns, k.p is not null as kept,
 from whole w left join kept k on w.conv_id is not distinct from k.conv_id join starts s on s.p = w.p
 """
 
+# Checksums byte by byte; near words by the text around the one place where they differ.
+ORACLES["op11_spelling_variants"] = rf"""
+with recursive bits as (
+  select list(c order by i) as crc from (
+    select i, list_reduce(list_prepend(cast(i as bigint), range(8)),
+      lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) as c
+    from (select unnest(range(256)) as i))),
+run as (
+  select coalesce(cast(doc_id as varchar), '') as d,
+    unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as run
+  from documents),
+once as (
+  select d, translate(run, '{UPPER}', '{LOWER}') as run, count(*) as n from run where length(run) > 5 group by 1, 2),
+code as (select d, run, n, hex(encode(d || ':' || run)) as x from once),
+sums as (
+  select run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, [cast('0x' || substring(x, 2 * i + 1, 2) as bigint) for i in range(cast(length(x) / 2 as bigint))]),
+    lambda c, b: xor(c >> 8, crc[xor(c, b) % 256 + 1]))) as h
+  from code, bits),
+typed as (
+  select n, case when h % 199 = 0
+    then substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) else run end as word
+  from sums),
+words as (
+  select word, cast(sum(n) as bigint) as n from typed where length(word) >= 6 group by word having sum(n) >= 5),
+less as (
+  select word, n, i, substring(word, 1, i) || substring(word, i + 2) as rest
+  from (select word, n, unnest(range(length(word))) as i from words)),
+pairs as (
+  select a.word, b.word as other, b.n as m from less a join less b
+    on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select less.word, w.word, w.n from less join words w on less.rest = w.word
+  union select w.word, less.word, less.n from less join words w on less.rest = w.word),
+best as (
+  select word, count(*) as n_near, max(m) as m, min(other) filter (where m = top) as other
+  from (select *, max(m) over (partition by word) as top from pairs) group by word),
+forms as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near,
+    case when m >= 5 * w.n then other end as form, case when m >= 5 * w.n then m end as form_n
+  from words w left join best on w.word = best.word),
+chain as (
+  select word, word as root, form as next from forms
+  union all select chain.word, chain.next, forms.form from chain join forms on chain.next = forms.word)
+select f.word, form, root, n, n_near, form_n
+from forms f join chain on f.word = chain.word and next is null
+"""
+
 # All orders walked one document at a time.
 ORACLES["op13_filter_audit"] = r"""
 with letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),

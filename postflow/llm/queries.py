@@ -19,6 +19,7 @@ from postflow.llm import (
     mixing,
     quality_classifier,
     quality_rules,
+    spelling,
 )
 from postflow.llm.common import join_null_safe
 
@@ -126,6 +127,11 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return rows.join(found, match).select(F.col("id").alias("doc_id"), "class_id")
 
 
+@query
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.document_variants(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_filter_audit(spark, sf_dir):
     return filter_audit.audit_filters(
