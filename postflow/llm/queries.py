@@ -19,6 +19,7 @@ from postflow.llm import (
     mixing,
     quality_classifier,
     quality_rules,
+    simhash,
     spelling,
 )
 from postflow.llm.common import join_null_safe
@@ -132,6 +133,11 @@ def op11_spelling_variants(spark, sf_dir):
     return spelling.document_variants(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_simhash(spark, sf_dir):
+    return simhash.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_filter_audit(spark, sf_dir):
     return filter_audit.audit_filters(
