@@ -91,6 +91,22 @@ REPEATED = """select id, text from {posts}
 # Lines that are no JSON record.
 CORRUPT = """'{"id": ' || cast(doc_id as string) || ', "text": "cut of'"""
 
+# A hundred phrases from each document at most: two or three of its longer words, or a tag and one.
+_PHRASE = """case when j % 7 = 3 then concat('#', source, ' ', {0})
+ when j % 5 = 0 then concat({0}, '+', {1}, ' ', {2}) else concat({0}, ' - ', {1}) end as phrase"""
+
+PHRASES_SPARK = rf"""
+select doc_id * 100 + j as phrase_id, {_PHRASE.format('get(ws, 2 * j)', 'get(ws, 2 * j + 1)', 'get(ws, 2 * j + 2)')}
+from (select doc_id, source, ws, explode(sequence(0, 99)) as j from (select doc_id, source,
+ filter(regexp_extract_all(lower(text), '[\\p{{{{L}}}}\\p{{{{M}}}}\\p{{{{N}}}}_]+', 0), w -> length(w) >= 6) as ws
+ from {{documents}})) where 2 * j + 2 < size(ws)"""
+
+PHRASES_DUCK = rf"""
+select doc_id * 100 + j as phrase_id, {_PHRASE.format('ws[2 * j + 1]', 'ws[2 * j + 2]', 'ws[2 * j + 3]')}
+from (select doc_id, source, ws, unnest(range(100)) as j from (select doc_id, source,
+ list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}_]+'), lambda w: length(w) >= 6) as ws
+ from documents)) where 2 * j + 2 < len(ws)"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -99,3 +115,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts made of the documents, one each."""
     return spark.sql(POSTS_SPARK, documents=table(spark, sf_dir, "documents"))
+
+
+def phrase_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to a hundred phrases for each document."""
+    return spark.sql(PHRASES_SPARK, documents=table(spark, sf_dir, "documents"))

@@ -9,6 +9,7 @@ from checks.fixtures import (
     LARGE_LEXICON,
     LEXICON,
     PHRASES,
+    PHRASES_DUCK,
     POSTS_DUCK,
     REPEATED,
     VOCABULARY,
@@ -187,6 +188,17 @@ predicted as (select t.id, t.label, x.prediction_bayes from test t join
  (partition by id order by round(p, 9) desc, label) as place from posterior) x
  on x.id = t.id and x.place = 1)"""
 
+# Phrases by counting: all terms of a phrase among those of a post.
+MATCHES = f"""{POSTS},
+phrases as ({PHRASES_DUCK}),
+used as (select distinct phrase_id, term from (select phrase_id,
+ unnest(regexp_extract_all(lower(phrase), '[#@]?[\\p{{L}}\\p{{M}}\\p{{N}}_]+')) as term from phrases)),
+need as (select phrase_id, count(*) as need from used group by phrase_id),
+held as (select distinct id, term from (select id, unnest(list_concat({TERMS.format('text')},
+ regexp_extract_all(lower(text), '[#@][\\p{{L}}\\p{{M}}\\p{{N}}_]+'))) as term from posts)),
+matches as (select id, phrase_id from held join used using (term) join need using (phrase_id)
+ group by id, phrase_id, need having count(*) = need)"""
+
 # The public 32-bit Murmur3 hash of UTF-8 bytes with seed 42, in unsigned 64-bit arithmetic:
 # whole little-endian blocks of four bytes, then the rest, then the final mix.
 MASK = "4294967295::ubigint"
@@ -308,6 +320,10 @@ ORACLES = {
  month(createdAt)::integer as month, day(createdAt)::integer as day, hour(createdAt)::integer as hour
  from posts where hour(createdAt) = 1""",
     "stream_posts": f"{POSTS} select id, createdAt, text from posts where {TRACKED}",
+    "phrase_matches": f"""{MATCHES} select id, count(*) as phrases, min(phrase_id) as least,
+ max(phrase_id) as largest, sum(phrase_id % 1009)::bigint as checksum from matches group by id""",
+    "track_phrases": f"""{MATCHES} select id, text from posts where id % 2 = 0 and id in
+ (select id from matches where phrase_id % 200 >= 100)""",
     "track_filter": f"{POSTS} select id, text from posts where {TRACKED}",
     "posts_to_json": f"""{POSTS} select * replace (strftime(createdAt, '%b %-d, %Y %-I:%M:%S %p') as createdAt)
  from (select {FLAT} from posts)""",

@@ -15,6 +15,7 @@ from checks.fixtures import (
     PHRASES,
     REPEATED,
     VOCABULARY,
+    phrase_list,
     posts,
     table,
 )
@@ -25,6 +26,7 @@ from postflow.operators import clean as C
 from postflow.operators import cluster as K
 from postflow.operators import sentiment as S
 from postflow.operators import text as W
+from postflow.operators import tracking as T
 from postflow.plans.analyse import (
     classify_posts,
     cluster_posts,
@@ -157,6 +159,25 @@ def track_filter(spark, sf_dir):
     return tracked.select("id", "text")
 
 
+@query
+def phrase_matches(spark, sf_dir):
+    """Phrases of each post, of a list that grows with the documents."""
+    found = T.phrase_matches(posts(spark, sf_dir).select("id", "text"), phrase_list(spark, sf_dir))
+    return found.groupBy("id").agg(
+        F.count("*").alias("phrases"),
+        F.min("phrase_id").alias("least"),
+        F.max("phrase_id").alias("largest"),
+        F.sum(F.col("phrase_id") % 1009).alias("checksum"),
+    )
+
+
+@query
+def track_phrases(spark, sf_dir):
+    """Posts that hold a phrase of the other half of the documents."""
+    half = phrase_list(spark, sf_dir).filter("phrase_id % 200 >= 100")
+    return T.track_phrases(posts(spark, sf_dir).filter("id % 2 = 0"), half).select("id", "text")
+
+
 @query
 def posts_to_json(spark, sf_dir):
     text = writers.posts_to_json(posts(spark, sf_dir))

@@ -17,6 +17,9 @@ NO_SENTENCE = -1.0
 # Words of a literal lexicon that share a bucket, on average.
 BUCKET_WORDS = 2
 
+# Words of a lexicon up to which each word of a text is first looked for in a set.
+PROBED_WORDS = 2000
+
 
 def word_score(word: Column, lexicon: Mapping[str, float]) -> Column:
     """Score of a word, null when unlisted.
@@ -54,7 +57,11 @@ def _mean(pairs: Column, otherwise: float) -> Column:
 
 def sentence_score(sentence: Column, lexicon: Mapping[str, float]) -> Column:
     """Mean score of the listed words of a sentence, neutral when it has none."""
-    scores = F.transform(terms(sentence), lambda word: word_score(word, lexicon))
+    words = terms(sentence)
+    if len(lexicon) <= PROBED_WORDS:
+        # Most words are unlisted, and a set tells so at less cost than the score's table.
+        words = F.filter(words, lambda word: word.isin(list(lexicon)))
+    scores = F.transform(words, lambda word: word_score(word, lexicon))
     one = F.lit(1).cast("bigint")
     pairs = F.transform(
         F.filter(scores, lambda score: score.isNotNull()),

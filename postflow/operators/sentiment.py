@@ -42,18 +42,19 @@ def sentence_scores_by_table(
 ) -> DataFrame:
     """``(key, pos, score, length)`` of :func:`sentences`, for a lexicon in a stored ``(word, score)``.
 
-    The sentences are read once, and only words, positions and lengths are shuffled, never text.
-    Sentences that share key and position stay apart.
+    Only words, positions and lengths are shuffled, never text. Sentences that share key and
+    position stay apart, by their place in ``parts``: these must come from stored rows, as the join
+    reads them more than once.
     """
     words = parts.select(
         key,
         "pos",
         F.length("sentence").alias("length"),
-        F.monotonically_increasing_id().alias("_sentence"),
+        F.monotonically_increasing_id().alias("_part"),
         terms(F.col("sentence")).alias("words"),
-    ).select(key, "pos", "length", "_sentence", F.explode_outer("words").alias("word"))
+    ).select(key, "pos", "length", "_part", F.explode_outer("words").alias("word"))
     found = lookup_join(words, lexicon, "word", "left", broadcast_rows)
-    means = found.groupBy("_sentence", key, "pos", "length").agg(
+    means = found.groupBy("_part", key, "pos", "length").agg(
         F.coalesce(F.avg("score"), F.lit(S.NEUTRAL_SCORE)).alias("score")
     )
     return means.select(key, "pos", "score", "length")
