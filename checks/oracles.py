@@ -305,6 +305,63 @@ LIVE_CLASSIFIED = " union all ".join(
     f"select {i}::integer as batch_id, * from ({classified(LIVE_IDS.format(window))})"
     for i, window in enumerate(WINDOWS)
 )
+
+
+def learned(kept: str) -> str:
+    """One fit of IDF and Naive Bayes over the training part of the live posts that ``kept`` holds."""
+    return f"""{WORDS}{SENTIMENT.removeprefix(POSTS)},
+train as (select id, label from labelled where {PART} = 'train' and id in ({LIVE_IDS.format(kept)})),
+seen as (select label, term, sum(tf) as n, count(*) as posts from tf join train using (id) group by all),
+known as (select term, sum(posts)::bigint as df,
+ ln(((select count(*) from train) + 1.0) / (sum(posts) + 1.0)) as idf from seen group by term),
+classes as (select label, count(*) as docs from train group by label),
+masses as (select label, ln(coalesce(sum(n * idf), 0.0) + (select count(*) from known)) as whole
+ from classes left join seen using (label) left join known using (term) group by label),
+priors as (select label, ln(docs + 1.0) - ln((select sum(docs) + count(*) from classes)) as prior, whole
+ from classes join masses using (label))"""
+
+
+def predicted(window: int) -> str:
+    """The test posts of a window by the model of all windows up to it."""
+    so_far = "(" + " or ".join(f"({w})" for w in WINDOWS[: window + 1]) + ")"
+    return f"""{learned(so_far)},
+test as (select id from labelled where {PART} = 'test' and id in ({LIVE_IDS.format(WINDOWS[window])})),
+held as (select id, term, tf * idf as x from tf join test using (id) join known using (term)),
+sums as (select id, sum(x) as x from held group by id),
+gains as (select id, label, sum(x * ln(n * idf + 1.0)) as gain from held join seen using (term)
+ join known using (term) group by id, label),
+posterior as (select t.id, p.label,
+ prior - whole * coalesce(s.x, 0.0) + coalesce(gain, 0.0) as p from test t cross join priors p
+ left join sums s on s.id = t.id left join gains g on g.id = t.id and g.label = p.label)
+select {window}::integer as batch_id, id, label as prediction_bayes from (select id, label,
+ row_number() over (partition by id order by round(p, 9) desc, label) as place from posterior)
+where place = 1"""
+
+
+LEARNED = learned("true")
+LIVE_PREDICTED = " union all ".join(f"select * from ({predicted(i)})" for i in range(len(WINDOWS)))
+
+
+def running_centres(windows: int, k: int) -> str:
+    """Means of the points of each window at the centres of the windows before it."""
+    steps = [f"""with points as (select vec_id, embedding::double[] as x from embeddings),
+c0 as (select vec_id::integer as cluster, x as centre, [0.0 for i in x] as total, 0::bigint as n
+ from points where vec_id < {k})"""]
+    for w in range(windows):
+        steps.append(f"""d{w} as (select p.vec_id, cluster, list_sum(list_transform(range(1, len(x) + 1),
+ lambda i: (x[i] - centre[i]) * (x[i] - centre[i]))) as d from points p, c{w} where vec_id % {windows} = {w}),
+near{w} as (select vec_id, arg_min(cluster, d) as cluster from d{w} group by vec_id),
+parts{w} as (select cluster, i, sum(v) as v, count(*) as n from (select cluster,
+ unnest(range(1, len(x) + 1)) as i, unnest(x) as v from points join near{w} using (vec_id)) group by all),
+sums{w} as (select cluster, list(v order by i) as v, any_value(n) as n from parts{w} group by cluster),
+both{w} as (select c.cluster, centre, [t + coalesce(s.v[i], 0.0) for t, i in c.total] as total,
+ c.n + coalesce(s.n, 0) as n from c{w} c left join sums{w} s using (cluster)),
+c{w + 1} as (select cluster, case when n > 0 then [t / n for t in total] else centre end as centre, total, n
+ from both{w})""")
+    return ",\n".join(steps) + f"""
+select cluster, unnest(range(len(centre)))::integer as dim, round(unnest(centre), 6) as x from c{windows}"""
+
+
 BY_TABLE_CLASSIFIED = classified(KEPT_IDS, sentiment_from(scores(LENGTHS)))
 CLOSED = """select date_trunc('hour', ts) as window_start,
  date_trunc('hour', ts) + interval 1 hour as window_end, event_type, count(*) as count
@@ -431,6 +488,12 @@ select coalesce(max(case when slope < -3 then k end), min(k))::integer as elbow_
     "classify_posts": classified(KEPT_IDS),
     "classify_posts_by_table": BY_TABLE_CLASSIFIED,
     "live_analyze": LIVE_CLASSIFIED,
+    "live_idf": f"{LEARNED} select term, df, round(idf, 6) as idf from known",
+    "live_bayes": f"""{LEARNED} select label, round(prior, 6) as prior, round(-whole, 6) as unseen, term,
+ round(idf, 6) as idf, round(ln(n * idf + 1.0) - whole, 6) as weight
+ from seen join known using (term) join priors using (label)""",
+    "live_predict": LIVE_PREDICTED,
+    "live_centres": running_centres(3, 5),
     "cluster_posts": f"""{POSTS} select id, 0.0::double as gap from posts
  where {KEPT} and {PART} = 'test'""",
 }

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from postflow.operators import classify as B
 from postflow.operators import clean as C
 from postflow.operators import cluster as K
 from postflow.operators import sentiment as S
+from postflow.operators import statistics as M
 from postflow.operators import text as W
 from postflow.operators import tracking as T
 from postflow.plans.analyse import (
@@ -32,10 +34,10 @@ from postflow.plans.analyse import (
     cluster_posts,
     prepare_features,
 )
-from postflow.plans.curate import clean_posts, curate_posts
+from postflow.plans.curate import clean_live, clean_posts, curate_posts
 from postflow.sources import readers, writers
 from postflow.sources.storage import shared_dir, store
-from postflow.streaming import jobs
+from postflow.streaming import incremental, jobs
 from postflow.streaming.windows import window_counts
 from postflow.values import POST_SCHEMA
 
@@ -730,6 +732,78 @@ def live_analyze(spark, sf_dir):
     return stage.select("batch_id", "id", "prediction_bayes")
 
 
+def learned(spark, sf_dir) -> tuple[str, incremental.StatisticsStore]:
+    """Three windows learned from one after the other; the second is cut short once, in its middle
+    and after its sums are written, and runs again."""
+    out, checkpoint = shared_dir(spark, "learned"), shared_dir(spark, "checkpoint")
+    sums = incremental.StatisticsStore(spark, f"{out}/_sums", compact_every=2)
+    stopped = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        incremental.learn_batch(batch, batch_id, out, sums, LEXICON)
+        if batch_id == 1 and not stopped:
+            stopped.append(batch_id)
+            raise RuntimeError("stopped on purpose")
+
+    class Again:
+        def __init__(self, stream):
+            self.stream = stream
+
+        def awaitTermination(self):
+            clean = self.stream.transform(C.flatten_posts).transform(clean_live)
+            try:
+                jobs.run_batches(clean, each, checkpoint, None).awaitTermination()
+            except StreamingQueryException:
+                jobs.run_batches(clean, each, checkpoint, None).awaitTermination()
+
+    arriving(spark, sf_dir, Again)
+    return out, sums
+
+
+@query
+def live_idf(spark, sf_dir):
+    """Weights of all windows' training posts together."""
+    _, sums = learned(spark, sf_dir)
+    return M.idf_of(sums.read()).select("term", "df", F.round("idf", 6).alias("idf"))
+
+
+@query
+def live_bayes(spark, sf_dir):
+    """The classifier of all windows' training posts together."""
+    _, sums = learned(spark, sf_dir)
+    classes, terms = M.bayes_of(sums.read())
+    rounded = lambda name: F.round(name, 6).alias(name)
+    return terms.join(classes, "label").select(
+        "label", rounded("prior"), rounded("unseen"), "term", rounded("idf"), rounded("weight")
+    )
+
+
+@query
+def live_predict(spark, sf_dir):
+    """Each window's test posts by the windows so far."""
+    out, _ = learned(spark, sf_dir)
+    stage = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*/classes")
+    return stage.select("batch_id", "id", "prediction_bayes")
+
+
+@query
+def live_centres(spark, sf_dir):
+    """Points of three windows go to the centres that the windows before them made."""
+    points = vectors(spark, sf_dir)
+    start = points.filter("vec_id < 5").select(
+        F.col("vec_id").cast("int").alias("cluster"), vector_to_array("features").alias("centre")
+    )
+    start = store(start, shared_dir(spark, "start"))
+    sums = incremental.StatisticsStore(spark, shared_dir(spark, "sums"))
+    for window in range(3):
+        centres = store(M.centres_of_statistics(sums.read(window), start), shared_dir(spark, "centres"))
+        sums.add(window, M.centre_statistics(points.filter(F.col("vec_id") % 3 == window), centres))
+    done = M.centres_of_statistics(sums.read(), start)
+    return done.select("cluster", F.posexplode("centre").alias("dim", "x")).select(
+        "cluster", "dim", F.round("x", 6).alias("x")
+    )
+
+
 @query
 def curate_posts_query(spark, sf_dir):
     curated = curate_posts(posts(spark, sf_dir))

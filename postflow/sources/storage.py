@@ -32,3 +32,14 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a stored table that no result reads any more, on whatever file system it lies."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def committed(spark: SparkSession, path: str) -> list[str]:
+    """The names of the tables in ``path`` whose writing has ended, in ascending order."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        return []
+    folders = [status.getPath() for status in files.listStatus(where) if status.isDirectory()]
+    done = [f.getName() for f in folders if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return sorted(done)
