@@ -362,6 +362,30 @@ c{w + 1} as (select cluster, case when n > 0 then [t / n for t in total] else ce
 select cluster, unnest(range(len(centre)))::integer as dim, round(unnest(centre), 6) as x from c{windows}"""
 
 
+def plain_lloyd(rounds: int) -> str:
+    """Lloyd's algorithm from the first vectors, every distance taken."""
+    steps = [f"""with points as (select vec_id, embedding::double[] as x from embeddings),
+c0 as (select k, vec_id::integer as cluster, x as centre from points, (values {CURVE_ROWS}) v(k) where vec_id < k)"""]
+    for r in range(rounds):
+        steps.append(f"""near{r} as (select k, vec_id, arg_min(cluster, d) as cluster from (select k, vec_id, cluster,
+ list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - centre[i]) * (x[i] - centre[i]))) as d
+ from points, c{r}) group by k, vec_id),
+mean{r} as (select k, cluster, list(v order by i) as centre from (select k, cluster, i, avg(v) as v from
+ (select k, cluster, unnest(range(len(x))) as i, unnest(x) as v from points join near{r} using (vec_id))
+ group by all) group by k, cluster),
+c{r + 1} as (select c.k, c.cluster, coalesce(m.centre, c.centre) as centre from c{r} c left join mean{r} m
+ on m.k = c.k and m.cluster = c.cluster)""")
+    return ",\n".join(steps) + f"""
+select k, cluster, unnest(range(len(centre)))::integer as dim, round(unnest(centre), 6) as x from c{rounds}"""
+
+
+UNIQUE = f"""{POSTS}, live as (select id, createdAt, text from posts
+ where lang = 'en' and source is not null and {DEVICE_TEST}),
+mark as (select max(createdAt) - interval 30 minute as mark from (select createdAt from live where {WINDOWS[1]}
+ union all select createdAt + interval 20 minute from live where {WINDOWS[0]}))
+select id, createdAt, text, {bar(without_stop_words(TOKENS))} as filtered_words from (select * from live union all
+ select id, createdAt + interval 90 minute, text from live, mark
+ where {WINDOWS[0]} and createdAt + interval 30 minute < mark)"""
 BY_TABLE_CLASSIFIED = classified(KEPT_IDS, sentiment_from(scores(LENGTHS)))
 CLOSED = """select date_trunc('hour', ts) as window_start,
  date_trunc('hour', ts) + interval 1 hour as window_end, event_type, count(*) as count
@@ -488,6 +512,8 @@ select coalesce(max(case when slope < -3 then k end), min(k))::integer as elbow_
     "classify_posts": classified(KEPT_IDS),
     "classify_posts_by_table": BY_TABLE_CLASSIFIED,
     "live_analyze": LIVE_CLASSIFIED,
+    "live_unique": UNIQUE,
+    "lloyd_grid": plain_lloyd(4),
     "live_idf": f"{LEARNED} select term, df, round(idf, 6) as idf from known",
     "live_bayes": f"""{LEARNED} select label, round(prior, 6) as prior, round(-whole, 6) as unseen, term,
  round(idf, 6) as idf, round(ln(n * idf + 1.0) - whole, 6) as weight

@@ -25,6 +25,7 @@ from postflow.functions import text as X
 from postflow.operators import classify as B
 from postflow.operators import clean as C
 from postflow.operators import cluster as K
+from postflow.operators import cluster_grid as G
 from postflow.operators import sentiment as S
 from postflow.operators import statistics as M
 from postflow.operators import text as W
@@ -508,6 +509,19 @@ def kmeans_grid(spark, sf_dir):
     return costs.select("k", "points", F.round(gap, 2).alias("gap"))
 
 
+@query
+def lloyd_grid(spark, sf_dir):
+    """Four rounds for five k in shared scans, from the first vectors."""
+    points = vectors(spark, sf_dir)
+    ks = F.explode(F.array(*map(F.lit, CURVE_GRID))).alias("k")
+    start = points.select(ks, "vec_id", vector_to_array("features").alias("centre")).filter("vec_id < k")
+    start = start.select("k", F.col("vec_id").cast("int").alias("cluster"), "centre")
+    done = G.lloyd_grid(points, start, 4, 0.0, "vec_id")
+    return done.centres.select("k", "cluster", F.posexplode("centre").alias("dim", "x")).select(
+        "k", "cluster", "dim", F.round("x", 6).alias("x")
+    )
+
+
 @query
 def wssse(spark, sf_dir):
     points = vectors(spark, sf_dir)
@@ -689,7 +703,8 @@ def window_counts_query(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     first, second, third = slices_of(events, "ts", EVENT_BORDERS)
     late = F.col("event_id") % 10 == 0
-    far = events.limit(1).withColumn("ts", F.lit(FAR).cast("timestamp"))
+    least = events.agg(F.min("event_id")).scalar()
+    far = events.filter(F.col("event_id") == least).withColumn("ts", F.lit(FAR).cast("timestamp"))
     source, out = shared_dir(spark, "events"), shared_dir(spark, "windows")
     checkpoint = shared_dir(spark, "checkpoint")
     for part in (first.filter(~late), second, first.filter(late), third, far):
@@ -722,6 +737,27 @@ def live_curate(spark, sf_dir):
     )
 
 
+# How long a post is known, and by how much its copies come later, in the second and third window.
+KNOWN, SOON, LATER = "30 minutes", "20 minutes", "90 minutes"
+
+
+@query
+def live_unique(spark, sf_dir):
+    """Copies of the first window's posts come in the second window, when all of them are
+    known, and in the third, when only the later ones are. The job starts again for each window."""
+    out, checkpoint = shared_dir(spark, "unique"), shared_dir(spark, "checkpoint")
+    first, second, third = slices_of(posts(spark, sf_dir), "createdAt", ARRIVALS)
+    again = lambda after: first.withColumn("createdAt", F.col("createdAt") + F.expr(f"interval {after}"))
+    slices = [first, second.unionByName(again(SOON)), third.unionByName(again(LATER))]
+    arriving(
+        spark,
+        sf_dir,
+        lambda stream: jobs.curate_unique(stream, out, checkpoint, None, KNOWN),
+        slices=slices,
+    )
+    return spark.read.parquet(out).select("id", "createdAt", "text", *joined("filtered_words"))
+
+
 @query
 def live_analyze(spark, sf_dir):
     out, checkpoint = shared_dir(spark, "live"), shared_dir(spark, "checkpoint")

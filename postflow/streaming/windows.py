@@ -1,4 +1,4 @@
-"""Event-time windows."""
+"""Event-time windows, and rows that repeat across them."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,3 +26,21 @@ def window_counts(
         *by,
         "count",
     )
+
+
+def unique_within(stream: DataFrame, lateness: str, columns, ts: str = "createdAt") -> DataFrame:
+    """A stream less the rows that repeat an earlier one in ``columns``, whatever window it came in.
+
+    A row is known for ``lateness`` beyond its ``ts``, by the clock of the latest ``ts`` seen; a
+    copy that comes later than that is a row of its own. Rows that are late themselves are
+    dropped. The state holds two hashes and a time for each known row, never the row, and goes
+    with the checkpoint; nulls are equal to nulls. Which of equal rows in one window stays is
+    open, so ``columns`` should name all that matters.
+    """
+    if not stream.isStreaming:
+        raise ValueError("unique_within is for streams; a table has dropDuplicates")
+    # A hash passes over nulls, so each value goes with whether it is one.
+    parts = [part for name in columns for part in (F.col(name).isNull(), F.col(name))]
+    keys = {"_h": F.xxhash64(*parts), "_g": F.xxhash64(F.lit(7), *parts, F.lit(7))}
+    timed = stream.withWatermark(ts, lateness).withColumns(keys)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop(*keys)
