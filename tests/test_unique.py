@@ -18,7 +18,8 @@ def arrive(spark, windows, lateness, columns):
         stream = unique_within(spark.readStream.schema(SCHEMA).parquet(source), lateness, columns)
         writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
         writer.trigger(availableNow=True).start(out).awaitTermination()
-    return sorted((r["id"], r["text"], f"{r['createdAt']:%d %H:%M}") for r in spark.read.parquet(out).collect())
+    rows = spark.read.parquet(out).collect()
+    return sorted(((r["id"], r["text"], f"{r['createdAt']:%d %H:%M}") for r in rows), key=str)
 
 
 def at(hour, minute=0):
