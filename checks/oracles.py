@@ -187,6 +187,10 @@ predicted as (select t.id, t.label, x.prediction_bayes from test t join
  (select id, label as prediction_bayes, row_number() over
  (partition by id order by round(p, 9) desc, label) as place from posterior) x
  on x.id = t.id and x.place = 1)"""
+PROBABILITIES = f"""{BAYES},
+odds as (select id, label, exp(p - max(p) over (partition by id)) as o from posterior),
+rated_classes as (select t.label, o.label as class, round(o / sum(o) over (partition by o.id), 6) as p
+ from odds o join test t on t.id = o.id)"""
 
 # Phrases by counting: all terms of a phrase among those of a post.
 MATCHES = f"""{POSTS},
@@ -505,6 +509,18 @@ select coalesce(max(case when slope < -3 then k end), min(k))::integer as elbow_
     "bayes_predict": f"{BAYES} select id, label, prediction_bayes from predicted",
     "confusion_counts": f"""{BAYES} select label, prediction_bayes as prediction, count(*) as count
  from predicted group by all""",
+    "log_loss": f"""{PROBABILITIES} select count(*) as n, round(avg(-ln(greatest(p, 1e-15))), 6) as log_loss
+ from rated_classes where label = class""",
+    "one_vs_rest_auc": f"""{PROBABILITIES},
+sides as (select class, count(*) filter (where label = class) as positives,
+ count(*) filter (where label <> class) as negatives from rated_classes group by class),
+won as (select a.class, sum(case when a.p > b.p then 1.0 when a.p = b.p then 0.5 else 0.0 end) as won
+ from rated_classes a join rated_classes b on a.class = b.class where a.label = a.class and b.label <> b.class group by a.class)
+select class, positives, negatives, round(won::double / (positives * negatives), 6) as auc
+ from sides left join won using (class)""",
+    "calibration": f"""{PROBABILITIES} select class, bin, count(*) as n, round(avg(p), 6) as mean_p,
+ round(avg(case when label = class then 1.0 else 0.0 end), 6) as share
+ from (select *, least(floor(p * 10), 9)::integer as bin from rated_classes) group by class, bin""",
     "window_counts": CLOSED,
     "batch_window_counts": WINDOW_COUNTS,
     "live_curate": LIVE,

@@ -26,6 +26,7 @@ from postflow.operators import classify as B
 from postflow.operators import clean as C
 from postflow.operators import cluster as K
 from postflow.operators import cluster_grid as G
+from postflow.operators import metrics as E
 from postflow.operators import sentiment as S
 from postflow.operators import statistics as M
 from postflow.operators import text as W
@@ -688,6 +689,32 @@ def confusion_counts(spark, sf_dir):
     return B.confusion_counts(B.predict_bayes(B.fit_bayes(train, "rawFeatures"), test))
 
 
+def bayes_scored(spark, sf_dir):
+    """Probabilities of the test posts, rounded so that equal ones are equal for any engine."""
+    train, test = bayes_input(spark, sf_dir)
+    scored, labels = B.bayes_probabilities(B.fit_bayes(train, "rawFeatures"), test)
+    long = E.long_probabilities(scored, labels).withColumn("p", F.round("p", 6))
+    return store(long, shared_dir(spark, "probabilities"))
+
+
+@query
+def log_loss(spark, sf_dir):
+    loss = E.log_loss(bayes_scored(spark, sf_dir))
+    return loss.select("n", F.round("log_loss", 6).alias("log_loss"))
+
+
+@query
+def one_vs_rest_auc(spark, sf_dir):
+    found = E.one_vs_rest_auc(bayes_scored(spark, sf_dir))
+    return found.select("class", "positives", "negatives", F.round("auc", 6).alias("auc"))
+
+
+@query
+def calibration(spark, sf_dir):
+    bins = E.calibration(bayes_scored(spark, sf_dir))
+    return bins.select("class", "bin", "n", *[F.round(c, 6).alias(c) for c in ("mean_p", "share")])
+
+
 # Streams and whole analyses
 
 

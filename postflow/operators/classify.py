@@ -38,6 +38,13 @@ def predict_bayes(model: PipelineModel, df: DataFrame) -> DataFrame:
     return predicted.withColumn(PREDICTION, F.col(PREDICTION).cast("int"))
 
 
+def bayes_probabilities(model: PipelineModel, df: DataFrame) -> tuple[DataFrame, list[int]]:
+    """``df`` with the vector ``probability``, and the labels that its places stand for."""
+    bayes, back = model.stages
+    scored = bayes.transform(df).withColumnRenamed("_probability", "probability")
+    return scored.drop("_predicted", "_raw"), [int(float(name)) for name in back.getLabels()]
+
+
 def bayes_weights(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """``(label, prior, weights)``: log prior and log likelihood per feature of each class."""
     bayes, back = model.stages
