@@ -8,19 +8,26 @@ edits, so each line files its own segments by length, number and content, and pr
 segments of lines of its length or up to ``edits`` shorter, only at the positions that the
 multi-match-aware rule leaves. Where many variants of a line share a segment, the cut is made
 again in what is left: of ``2 * (edits + 1)`` segments all but ``edits`` stay whole, and lines
-that file or probe such a segment meet by those instead. Pairs that meet are verified: first most
-of a finer cut must recur in place, then a banded bit-parallel edit distance decides.
+that file or probe such a segment meet by those instead. With one edit they don't meet in pairs
+even then: lines that agree but for the character at one place are all within one edit of each
+other, and lines that give one shorter line when they lose a character are within one edit of
+that, so each such group is a star around one of its lines, and a crowd makes as many links as it
+has lines. Pairs that meet are verified: first most of a finer cut must recur in place, then a
+banded bit-parallel edit distance decides.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from itertools import combinations, product
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postflow.llm.common import by_position, components, keep_table, text_id
 from postflow.llm.quality_rules import let
+from postflow.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
 
 # Edits allowed between lines, the shorter of which has so many characters.
 EDITS = ((20, 1),)
@@ -28,14 +35,17 @@ LEAST_LENGTH = 1
 LEAST_WITHOUT_WORD = 20
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 FINE_SEGMENTS = 8
-BUCKET = 64
+CROWD_SEGMENTS = 16
+BUCKET = 8
 
 
 def folded(line: Column) -> Column:
     """Lower case, runs of blanks as one, none at the ends."""
     lower = F.lower(line)
     # Few lines have more than single blanks, and looking is cheaper than replacing.
-    uneven = lower.rlike(r"[\t\x0B\f\r\x{A0}]|  ")
+    uneven = F.contains(lower, F.lit("  "))
+    for blank in "\t\x0b\f\r\xa0":
+        uneven = uneven | F.contains(lower, F.lit(blank))
     return F.trim(F.when(uneven, F.regexp_replace(lower, r"[\s\x{A0}]+", " ")).otherwise(lower))
 
 
@@ -47,18 +57,21 @@ def segment(length: Column, number: int, segments: int) -> tuple[Column, Column]
     return start.cast("int"), (size + F.when(number > short, 1).otherwise(0)).cast("int")
 
 
-def segment_keys(line: Column, edits: int) -> Column:
+def segment_keys(line: Column, edits: int) -> list[Column]:
     """Keys under which ``line`` is found."""
     n = F.length(line)
     keys = []
     for i in range(1, edits + 2):
         start, size = segment(n, i, edits + 1)
         keys.append(F.xxhash64(n, F.lit(i), line.substr(start, size)))
-    return F.array(*keys)
+    return keys
+
 
+def probe_keys(line: Column, edits: int) -> list[Column]:
+    """Keys of the segments that a line of equal length, or up to ``edits`` shorter, may share.
 
-def probe_keys(line: Column, edits: int) -> Column:
-    """Keys of the segments that a line of equal length, or up to ``edits`` shorter, may share."""
+    The line's own :func:`segment_keys` belong to them, and are not given again.
+    """
     keys = []
     for less in range(edits + 1):
         n = (F.length(line) - less).cast("int")
@@ -67,8 +80,9 @@ def probe_keys(line: Column, edits: int) -> Column:
             low = max(-(i - 1), less - (edits + 1 - i))
             high = min(i - 1, less + (edits + 1 - i))
             for shift in range(low, high + 1):
-                keys.append(F.xxhash64(n, F.lit(i), line.substr(start + shift, size)))
-    return F.array(*keys)
+                if (less, shift) != (0, 0):
+                    keys.append(F.xxhash64(n, F.lit(i), line.substr(start + shift, size)))
+    return keys
 
 
 def left_out(edits: int) -> list[tuple[int, ...]]:
@@ -216,77 +230,170 @@ def line_table(docs: DataFrame, least_length: int = LEAST_LENGTH) -> DataFrame:
         F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "raw"),
     )
     lines = lines.filter(F.length("raw") >= least_length)
-    lines = lines.select("doc_id", "doc", "pos", "raw", folded(F.col("raw")).alias("line"))
+    # Exploded, a line is folded once; as a plain column each filter would fold it again.
+    line = F.explode(F.array(folded(F.col("raw")))).alias("line")
+    lines = lines.select("doc_id", "doc", "pos", "raw", line)
     lines = lines.filter(F.length("line") >= least_length)
-    bare = ~F.col("line").rlike(WORD) & (
-        F.least(F.length("raw"), F.length("line")) < LEAST_WITHOUT_WORD
-    )
-    lines = lines.filter(~bare).drop("raw")
+    short = (F.length("line") < LEAST_WITHOUT_WORD) | (F.length("raw") < LEAST_WITHOUT_WORD)
+    lines = lines.filter(~(short & ~F.col("line").rlike(WORD))).drop("raw")
     return lines.withColumn("id", text_id(F.col("line")))
 
 
-def near_lines(distinct: DataFrame, edits: tuple = EDITS, bucket: int = BUCKET) -> DataFrame:
-    """``(a, b)`` as :func:`close_lines`, with the edits that the shorter line's length allows."""
-    found = None
-    for (least, allowed), upper in zip(edits, [*[low for low, _ in edits[1:]], None]):
-        lines = distinct.filter(F.length("line") >= max(least, allowed + 1))
-        if upper is not None:
-            # The longer line of a pair may reach into the next class.
-            lines = lines.filter(F.length("line") < upper + allowed)
-        pairs = close_lines(lines, allowed, bucket)
-        found = pairs if found is None else found.unionByName(pairs)
-    return found
+def one_edit_stars(crowd: DataFrame) -> DataFrame:
+    """``(ha, ga, hb, gb)``: links that join all lines of ``crowd (h, g, line)`` within one edit.
+
+    Only lines that share all segments but one with another line go on, and only the places of
+    that segment are tried: without the character there, what is left of lines of one length
+    names a group around its least line; what is left of a line that is one longer names a group
+    around the line that reads so.
+    """
+    n = F.length("line")
+    keys = []
+    for less in (0, 1):
+        length = (n - less).cast("int")
+        for gone in range(1, CROWD_SEGMENTS + 1):
+            start, size = segment(length, gone, CROWD_SEGMENTS)
+            before = F.col("line").substr(F.lit(1), start - 1)
+            after = F.col("line").substr(start + size + less, n)
+            keys.append(
+                F.struct(
+                    F.xxhash64(length, F.lit(gone), before, after).alias("key"),
+                    F.lit(less).alias("less"),
+                    start.alias("low"),
+                    (start + size - 1 + less).alias("high"),
+                )
+            )
+    every = crowd.select("h", "g", "line", F.explode(F.array(*keys)).alias("k")).select("h", "g", "line", "k.*")
+    shared = every.groupBy("key").agg(F.count("*").alias("n"), F.min("less").alias("least"))
+    shared = shared.filter("n > 1 and least = 0").select("key")
+    near = every.join(shared, "key")
+    places = near.filter("low <= high").select(
+        "h", "g", "line", "less", F.explode(F.sequence("low", "high")).alias("at")
+    )
+    rest = F.concat(
+        F.col("line").substr(F.lit(1), F.col("at") - 1), F.col("line").substr(F.col("at") + 1, n)
+    )
+    group = F.when(F.col("less") == 0, F.xxhash64(n, "at", rest)).otherwise(F.xxhash64(F.lit("less"), rest))
+    grouped = places.select(group.alias("group"), F.col("less").alias("role"), "h", "g")
+    short = near.filter("less = 0").select(
+        F.xxhash64(F.lit("less"), "line").alias("group"), F.lit(0).alias("role"), "h", "g"
+    )
+    grouped = keep_table(grouped.unionByName(short).distinct(), "one_edit")
+    centre = F.min(F.struct("role", "h", "g")).alias("c")
+    centres = grouped.groupBy("group").agg(F.count("*").alias("n"), centre).filter("n > 1 and c.role = 0")
+    centres = centres.select("group", F.col("c.h").alias("ha"), F.col("c.g").alias("ga"))
+    met = grouped.join(centres, "group").select("ha", "ga", F.col("h").alias("hb"), F.col("g").alias("gb"))
+    return met.filter("ha != hb or ga != gb")
 
 
-def close_lines(distinct: DataFrame, edits: int, bucket: int = BUCKET) -> DataFrame:
-    """``(a, b)``: ids of different lines within ``edits``, from ``(h, g, line)``.
+@dataclass
+class Step:
+    """Lines of ``low`` to ``high`` characters (None: no end) meet within ``edits``."""
 
-    A segment that more than ``bucket`` lines file is not looked at by itself.
-    """
-    def filed(lines: DataFrame, keys) -> DataFrame:
-        key = F.explode(keys(F.col("line"), edits)).alias("key")
-        return lines.select(F.col("h").alias("ha"), F.col("g").alias("ga"), key)
+    edits: int
+    low: int
+    high: int | None
 
-    def asked(lines: DataFrame, keys) -> DataFrame:
-        key = F.explode(keys(F.col("line"), edits)).alias("key")
-        return lines.select(F.col("h").alias("hb"), F.col("g").alias("gb"), key)
+    def holds(self, line: Column) -> Column:
+        n = F.length(line)
+        inside = n >= max(self.low, self.edits + 1)
+        # The longer line of a pair may reach into the next step.
+        return inside if self.high is None else inside & (n < self.high + self.edits)
 
-    probes = asked(distinct, probe_keys)
-    sized = filed(distinct, segment_keys).withColumn(
-        "n", F.count("*").over(Window.partitionBy("key"))
-    )
-    met = sized.filter(F.col("n") <= bucket).drop("n").join(probes, "key")
-    # A line probes its own segments too, so this finds the lines on both sides of a large bucket.
-    large = sized.filter(F.col("n") > bucket).select("key").distinct()
-    many = probes.join(large, "key", "left_semi").select(
-        F.col("hb").alias("h"), F.col("gb").alias("g")
+
+def steps_of(edits: int | tuple, least_length: int = LEAST_LENGTH) -> list[Step]:
+    """``edits`` as pairs of a length and the edits allowed from there on, or one number for all."""
+    pairs = ((least_length, edits),) if isinstance(edits, int) else edits
+    ends = [*[low for low, _ in pairs[1:]], None]
+    return [Step(allowed, low, high) for (low, allowed), high in zip(pairs, ends)]
+
+
+def key_columns(line: Column, steps: list[Step]) -> dict[str, Column]:
+    """The segment keys (``f``, by step and number) and probe keys (``p``) of a line, as longs."""
+    columns = {}
+    for s, step in enumerate(steps):
+        inside = step.holds(line)
+        for kind, keys in (("f", segment_keys(line, step.edits)), ("p", probe_keys(line, step.edits))):
+            for i, key in enumerate(keys):
+                columns[f"{kind}{s}_{i}"] = F.when(inside, key)
+    return columns
+
+
+def close_pairs(
+    keyed: DataFrame, texts: Callable[[DataFrame], DataFrame], steps: list[Step], bucket: int = BUCKET
+) -> DataFrame:
+    """``(a, b)``: ids of different lines within the edits of a step.
+
+    ``keyed (h, g, ...)`` is a stored table with the :func:`key_columns` of distinct lines, and
+    ``texts`` gives ``(h, g, line)`` of the lines whose ``h`` a table holds: only lines that share a
+    segment with another one are asked for, so the other lines' text never moves.
+
+    The links join all lines that are within the edits, directly or through others; not every pair
+    has one. A segment that more than ``bucket`` lines file is not looked at by itself.
+    """
+    names = [name for name in keyed.columns if name not in ("h", "g")]
+    keys = [
+        F.struct(F.lit(int(name[1 : name.index("_")])).alias("step"), F.lit(name[0] == "f").alias("filed"), F.col(name).alias("key"))
+        for name in names
+    ]
+    every = keyed.select("h", "g", F.explode(F.array(*keys)).alias("k")).select("h", "g", "k.*")
+    every = every.filter("key is not null")
+    sizes = every.groupBy("step", "key").agg(
+        F.sum(F.col("filed").cast("int")).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")
     )
-    crowd = distinct.join(many.distinct(), ["h", "g"])
-    met = met.unionByName(filed(crowd, whole_keys).join(asked(crowd, whole_probes), "key"))
+    shared = sizes.filter("n > 0 and lo < hi").select("step", "key", "n")
+    members = keep_table(every.join(shared, ["step", "key"]), "members")
+    known = keep_table(texts(keep_table(members.select("h").distinct(), "asked")), "line_texts")
+
+    def named(rows: DataFrame, side: str) -> DataFrame:
+        return rows.select("step", "key", F.col("h").alias(f"h{side}"), F.col("g").alias(f"g{side}"))
+
+    few = members.filter(F.col("n") <= bucket)
+    met = named(few.filter("filed"), "a").join(named(few, "b"), ["step", "key"]).drop("key")
+    for s, step in enumerate(steps):
+        crowd = members.filter((F.col("n") > bucket) & (F.col("step") == s)).select("h", "g").distinct()
+        crowd = keep_table(known.join(crowd, ["h", "g"]), "crowd")
+        more = one_edit_stars(crowd) if step.edits == 1 else crowd_pairs(crowd, step.edits)
+        met = met.unionByName(more.withColumn("step", F.lit(s)))
     met = met.filter("ha != hb or ga != gb")
     # Of two lines of equal length either may have asked; distinct() keeps a pair once.
     turned = F.struct("ha", "ga") > F.struct("hb", "gb")
     pairs = met.select(
+        "step",
         *[
             F.when(turned, F.col(x)).otherwise(F.col(y)).alias(z)
             for x, y, z in (("hb", "ha", "ha"), ("gb", "ga", "ga"), ("ha", "hb", "hb"), ("ga", "gb", "gb"))
-        ]
+        ],
     ).distinct()
-    left = distinct.select(
-        F.col("h").alias("ha"), F.col("g").alias("ga"), F.col("line").alias("la")
-    )
-    right = distinct.select(
-        F.col("h").alias("hb"), F.col("g").alias("gb"), F.col("line").alias("lb")
-    )
-    both = pairs.join(left, ["ha", "ga"]).join(right, ["hb", "gb"])
-    maybe = both.filter(may_be_close(F.col("la"), F.col("lb"), edits))
-    close = maybe.filter(banded_distance(F.col("la"), F.col("lb"), edits) <= edits)
-    return close.select(
+    side = lambda x: known.select(*[F.col(c).alias(f"{c[0]}{x}") for c in ("h", "g", "line")])
+    both = pairs.join(side("a"), ["ha", "ga"]).join(side("b"), ["hb", "gb"])
+    links = None
+    for s, step in enumerate(steps):
+        close = both.filter(F.col("step") == s).filter(may_be_close(F.col("la"), F.col("lb"), step.edits))
+        close = close.filter(banded_distance(F.col("la"), F.col("lb"), step.edits) <= step.edits)
+        links = close if links is None else links.unionByName(close)
+    return links.select(
         F.struct(F.col("ha").alias("h"), F.col("ga").alias("g")).alias("a"),
         F.struct(F.col("hb").alias("h"), F.col("gb").alias("g")).alias("b"),
     )
 
 
+def crowd_pairs(crowd: DataFrame, edits: int) -> DataFrame:
+    """``(ha, ga, hb, gb)`` of lines that share all segments but ``edits``, for any ``edits``."""
+    key = lambda keys: F.explode(keys(F.col("line"), edits)).alias("key")
+    filed = crowd.select(F.col("h").alias("ha"), F.col("g").alias("ga"), key(whole_keys))
+    asked = crowd.select(F.col("h").alias("hb"), F.col("g").alias("gb"), key(whole_probes))
+    return filed.join(asked, "key").drop("key")
+
+
+def close_lines(distinct: DataFrame, edits: int | tuple, bucket: int = BUCKET) -> DataFrame:
+    """:func:`close_pairs` of a table of distinct lines ``(h, g, line)``."""
+    steps = steps_of(edits)
+    keyed = distinct.select("h", "g", *[k.alias(n) for n, k in key_columns(F.col("line"), steps).items()])
+    texts = lambda asked: distinct.select("h", "g", "line").join(asked, "h")
+    return close_pairs(keep_table(keyed, "keyed"), texts, steps, bucket)
+
+
 def repeated_lines(
     docs: DataFrame, edits: int | tuple = EDITS, least_length: int = LEAST_LENGTH
 ) -> DataFrame:
@@ -300,16 +407,30 @@ def repeated_lines(
     keep the same lines.
     """
     lines = line_table(docs, least_length)
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc", "pos")
-    places = keep_table(lines.select("id.h", "id.g", place.alias("place")), "places")
+    steps = steps_of(edits, least_length)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc", "pos").alias("place")
+    keys = key_columns(F.col("line"), steps)
+    # One pass over the texts gives places and keys, without the texts.
+    rows = lines.select("id.h", "id.g", place, *[key.alias(name) for name, key in keys.items()])
+    rows = keep_table(rows, "lines")
+    places = rows.select("h", "g", "place")
     counted = places.groupBy("h", "g").agg(
         F.min("place").alias("first"), F.max("place").alias("last")
     )
-    distinct = lines.select("id.h", "id.g", "line").groupBy("h", "g").agg(
-        F.first("line").alias("line")
-    )
-    steps = ((least_length, edits),) if isinstance(edits, int) else edits
-    links = keep_table(near_lines(distinct, steps), "line_links")
+    keyed = rows.groupBy("h", "g").agg(*[F.min(name).alias(name) for name in keys])
+
+    def texts(asked: DataFrame) -> DataFrame:
+        # Documents with such a line first, so that the others are not cut again.
+        held = lookup_join(rows.select("h", F.col("place.doc.h").alias("d")), asked, "h")
+        held = keep_table(held.select("d").distinct(), "asked_documents")
+        again = lines
+        if fits_broadcast(held, BROADCAST_ROWS):
+            some = docs.select("doc_id", "text", text_id(F.col("text"))["h"].alias("d"))
+            again = line_table(some.join(F.broadcast(held), "d"), least_length)
+        found = lookup_join(again.select("id.h", "id.g", "line"), asked, "h")
+        return found.groupBy("h", "g").agg(F.first("line").alias("line"))
+
+    links = keep_table(close_pairs(keep_table(keyed, "keyed"), texts, steps), "line_links")
     roots = keep_table(components(links), "line_classes")
     near = counted.join(
         roots.select("node.h", "node.g", "root"), ["h", "g"]

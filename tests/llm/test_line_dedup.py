@@ -103,7 +103,38 @@ def test_crowded_segments_lose_no_link(spark, edits):
     }
     for bucket in (1, 1000):
         got = L.close_lines(table, edits, bucket).collect()
-        assert {tuple(sorted((r["a"]["h"], r["b"]["h"]))) for r in got} == expected
+        links = {tuple(sorted((r["a"]["h"], r["b"]["h"]))) for r in got}
+        assert links <= expected
+        assert groups(links, len(lines)) == groups(expected, len(lines))
+
+
+def groups(links, n):
+    root = list(range(n))
+    for a, b in sorted(links):
+        old, new = root[b], root[a]
+        root = [new if x == old else x for x in root]
+    return {frozenset(i for i in range(n) if root[i] == r) for r in root}
+
+
+@pytest.mark.parametrize("least, most", [(2, 6), (8, 12)])
+def test_stars_of_one_edit_join_all(spark, least, most):
+    rng = random.Random(least)
+    lines = sorted({"".join(rng.choices("aé", k=rng.randint(least, most))) for _ in range(150)})
+    table = spark.createDataFrame([(i, 0, x) for i, x in enumerate(lines)], "h long, g long, line string")
+    got = {tuple(sorted((r["ha"], r["hb"]))) for r in L.one_edit_stars(table).collect()}
+    expected = {(i, j) for j in range(len(lines)) for i in range(j) if distance(lines[i], lines[j]) <= 1}
+    assert got <= expected and groups(got, len(lines)) == groups(expected, len(lines))
+
+
+def test_a_crowd_makes_as_many_links_as_lines(spark):
+    """A thousand lines that differ at one place, and a thousand with a letter more somewhere."""
+    base = "the lines of a crowd are all alike but for a letter"
+    lines = [base[:9] + chr(0x4E00 + i) + base[10:] for i in range(1000)]
+    lines += [base[:20] + chr(0x4E00 + i) + base[20:] for i in range(1000)] + [base]
+    table = spark.createDataFrame([(i, 0, x) for i, x in enumerate(lines)], "h long, g long, line string")
+    got = L.close_lines(table, 1).collect()
+    assert len(got) < 3 * len(lines)
+    assert len(groups({(r["a"]["h"], r["b"]["h"]) for r in got}, len(lines))) == 1
 
 
 def test_dropping(spark):
