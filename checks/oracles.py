@@ -397,6 +397,8 @@ CLOSED = """select date_trunc('hour', ts) as window_start,
   where ts >= '2024-01-10' and ts < '2024-01-20')
  where not (event_id % 10 = 0 and ts < '2024-01-10')
   or mark is null or date_trunc('hour', ts) + interval 1 hour > mark group by all"""
+LATE_POSTS = f"""{POSTS}, late as (select * replace (createdAt + interval 353 days + interval 1410 minutes as createdAt)
+ from posts)"""
 
 ORACLES = {
     "read_posts_json": f"""{POSTS} select {FLAT}, null as corrupt from posts union all
@@ -404,6 +406,12 @@ ORACLES = {
     "read_time_slice": f"""{POSTS} select id, createdAt, text, year(createdAt)::integer as year,
  month(createdAt)::integer as month, day(createdAt)::integer as day, hour(createdAt)::integer as hour
  from posts where hour(createdAt) = 1""",
+    "read_range": f"""{LATE_POSTS} select id, createdAt, text, year(createdAt)::integer as year,
+ hour(createdAt)::integer as hour from late
+ where createdAt >= '2019-12-31 23:50:00' and createdAt < '2020-01-01 00:40:00'""",
+    "compact_slices": f"""{LATE_POSTS} select year(createdAt)::integer as year, month(createdAt)::integer as month,
+ day(createdAt)::integer as day, (id % 4)::bigint as batch_id, count(*) as posts,
+ count(distinct id) as ids, sum(length(text))::bigint as chars from late group by all""",
     "stream_posts": f"{POSTS} select id, createdAt, text from posts where {TRACKED}",
     "phrase_matches": f"""{MATCHES} select id, count(*) as phrases, min(phrase_id) as least,
  max(phrase_id) as largest, sum(phrase_id % 1009)::bigint as checksum from matches group by id""",

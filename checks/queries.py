@@ -37,7 +37,7 @@ from postflow.plans.analyse import (
     prepare_features,
 )
 from postflow.plans.curate import clean_live, clean_posts, curate_posts
-from postflow.sources import readers, writers
+from postflow.sources import readers, slices, writers
 from postflow.sources.storage import shared_dir, store
 from postflow.streaming import incremental, jobs
 from postflow.streaming.windows import window_counts
@@ -142,6 +142,42 @@ def read_time_slice(spark, sf_dir):
     )
 
 
+def around_new_year(spark, sf_dir):
+    """Posts from half an hour before a year's end on."""
+    later = F.col("createdAt") + F.expr("interval 353 days 23 hours 30 minutes")
+    return posts(spark, sf_dir).withColumn("createdAt", later)
+
+
+@query
+def read_range(spark, sf_dir):
+    """A range across a year's end, by the manifest of hourly slices."""
+    path = shared_dir(spark, "slices")
+    writers.write_time_slices(around_new_year(spark, sf_dir), path, "hour")
+    slices.refresh_manifest(spark, path, "hour")
+    found = slices.read_range(spark, path, "2019-12-31 23:50:00", "2020-01-01 00:40:00", "hour")
+    return found.select("id", "createdAt", "text", "year", "hour")
+
+
+@query
+def compact_slices(spark, sf_dir):
+    """Minutes of three batches become about eight files for the days; a further batch
+    arrives, and the replaced files go."""
+    path = shared_dir(spark, "slices")
+    rows = around_new_year(spark, sf_dir)
+    for batch in range(3):
+        writers.write_time_slices(rows.filter(F.col("id") % 4 == batch), path, "minute", batch_id=batch)
+    slices.refresh_manifest(spark, path, "minute")
+    size = slices.read_manifest(spark, path, "minute").agg(F.sum("bytes")).first()[0]
+    slices.compact(spark, path, "minute", size // 8, by="day")
+    writers.write_time_slices(rows.filter("id % 4 = 3"), path, "minute", batch_id=3)
+    slices.refresh_manifest(spark, path, "minute")
+    slices.vacuum(spark, path, "minute")
+    read = slices.read_slices(spark, path, "minute")
+    return read.groupBy("year", "month", "day", "batch_id").agg(
+        F.count("*").alias("posts"), F.count_distinct("id").alias("ids"), F.sum(F.length("text")).alias("chars")
+    )
+
+
 @query
 def stream_posts(spark, sf_dir):
     out, checkpoint = shared_dir(spark, "tracked"), shared_dir(spark, "checkpoint")
