@@ -203,6 +203,17 @@ held as (select distinct id, term from (select id, unnest(list_concat({TERMS.for
 matches as (select id, phrase_id from held join used using (term) join need using (phrase_id)
  group by id, phrase_id, need having count(*) = need)"""
 
+# Words next to each other or one apart, by place in the post.
+PAIRS = f"""{WORDS},
+placed as (select r, unnest(range(len(ws))) as i, unnest(ws) as w from words),
+frequent as (select w from placed where w <> '' group by w having count(*) >= 20),
+near as (select a.w as word, b.w as context, count(*) as n from placed a join placed b
+ on a.r = b.r and a.i <> b.i and abs(a.i - b.i) <= 2
+ where a.w in (from frequent) and b.w in (from frequent) group by all),
+word_sums as (select word, sum(n) as m from near group by word),
+weights as (select word, context, ln(n * (select sum(n)::double from near) / (a.m::double * b.m)) as weight
+ from near join word_sums a using (word) join (select word as context, m from word_sums) b using (context))"""
+
 # The public 32-bit Murmur3 hash of UTF-8 bytes with seed 42, in unsigned 64-bit arithmetic:
 # whole little-endian blocks of four bytes, then the rest, then the final mix.
 MASK = "4294967295::ubigint"
@@ -474,6 +485,11 @@ sums as (select r, sum(v0) as v0, sum(v1) as v1, sum(v2) as v2 from occurrences
  join vectors using (term) group by r)
 select w.id, {", ".join(f"round(coalesce(s.v{i}, 0.0) / greatest(len(ws), 1), 6) as v{i}" for i in range(3))}
  from words w left join sums s on s.r = w.r""",
+    "word_pairs": f"{PAIRS} select word, context, n from near",
+    "ppmi": f"""{PAIRS} select word, context, round(weight, 6) as weight from weights
+ where weight > 0.000001""",
+    "count_vectors": f"""{PAIRS} select count(distinct word) as words, 0.0::double as gap from weights
+ where weight > 0""",
     "hashing_tf": f"""{BUCKETS} select w.id, string_agg(coalesce(n, 0)::varchar || '.0', ',' order by b.bucket) as rawFeatures
  from words w cross join (select unnest(range(20))::integer as bucket) b
  left join bucket_counts c on c.id = w.id and c.bucket = b.bucket group by w.id""",

@@ -31,6 +31,7 @@ from postflow.operators import sentiment as S
 from postflow.operators import statistics as M
 from postflow.operators import text as W
 from postflow.operators import tracking as T
+from postflow.operators import word_vectors as V
 from postflow.plans.analyse import (
     classify_posts,
     cluster_posts,
@@ -490,6 +491,44 @@ def average_word_vectors(spark, sf_dir):
     return means.select("id", *[F.round(F.col("vector")[i], 6).alias(f"v{i}") for i in range(3)])
 
 
+# Words of the count vectors, and the places that count as near.
+FREQUENT, NEAR = 20, 2
+
+
+def frequent_pairs(spark, sf_dir):
+    words = store(
+        words_of(posts(spark, sf_dir)).select("id", "filtered_words"), shared_dir(spark, "words")
+    )
+    known = V.kept_words(words, FREQUENT)
+    pairs = V.word_pairs(words, NEAR).join(known, "word")
+    pairs = pairs.join(known.withColumnRenamed("word", "context"), "context")
+    return store(pairs.select("word", "context", "n"), shared_dir(spark, "pairs"))
+
+
+@query
+def word_pairs(spark, sf_dir):
+    return frequent_pairs(spark, sf_dir)
+
+
+@query
+def ppmi(spark, sf_dir):
+    weights = V.ppmi(frequent_pairs(spark, sf_dir)).filter("weight > 0.000001")
+    return weights.select("word", "context", F.round("weight", 6).alias("weight"))
+
+
+@query
+def count_vectors(spark, sf_dir):
+    """Words with a vector, and how far the dimensions are from orthogonal."""
+    words = store(
+        words_of(posts(spark, sf_dir)).select("id", "filtered_words"), shared_dir(spark, "words")
+    )
+    vectors = V.fit_count_vectors(words, 3, NEAR, FREQUENT)
+    product = lambda i, j: F.sum(F.col("vector")[i] * F.col("vector")[j])
+    pairs = [(0, 1), (0, 2), (1, 2)]
+    gap = F.greatest(*[F.abs(product(i, j)) / F.sqrt(product(i, i) * product(j, j)) for i, j in pairs])
+    return vectors.agg(F.count("*").alias("words"), F.round(gap, 6).alias("gap"))
+
+
 @query
 def hashing_tf(spark, sf_dir):
     hashed = W.hashing_tf(words_of(posts(spark, sf_dir)))
