@@ -73,6 +73,10 @@ LARGE_LEXICON = {f"word{i}": (i % 500) / 125 for i in range(25_000)} | {
     word: (3 * i % 500) / 125 for i, word in enumerate(LEXICON)
 }
 
+# Words of the documents, standing for those of a grammar.
+NEGATIONS, CONTRASTS = ("is", "it", "les", "un"), ("that", "que", "to")
+INTENSIFIERS = {"in": 1.5, "be": 0.5, "de": 2.0}
+
 VOCABULARY = (
     "er", "th", "nd", "re", "ed", "en", "ha", "es", "ea", "ti",
     "nt", "ing", "st", "ly", "ble", "ou", "wh", "sh", "thth", "tion",

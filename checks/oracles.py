@@ -4,10 +4,13 @@ import re
 
 from checks.fixtures import (
     ARRIVALS,
+    CONTRASTS,
     CORRUPT,
     CURVE_GRID,
+    INTENSIFIERS,
     LARGE_LEXICON,
     LEXICON,
+    NEGATIONS,
     PHRASES,
     PHRASES_DUCK,
     POSTS_DUCK,
@@ -203,6 +206,27 @@ held as (select distinct id, term from (select id, unnest(list_concat({TERMS.for
 matches as (select id, phrase_id from held join used using (term) join need using (phrase_id)
  group by id, phrase_id, need having count(*) = need)"""
 
+def mapped(values) -> str:
+    return "map {" + ", ".join(f"'{word}': {x}::double" for word, x in values.items()) + "}"
+
+
+# A step of the recursion reads the next term of every sentence.
+READ = f"""{SENTENCES.replace("with posts", "with recursive posts", 1)},
+fold as (select r, id, pos, list_filter({TERMS.format('sentence')}, lambda w: w <> '') as ws, 0 as i,
+ 0.0::double as plain, 0.0::double as negated, 0.0::double as before, 0.0::double as after,
+ 0 as listed, 0 as reach, 1.0::double as boost, false as contrast from sentences
+ union all select r, id, pos, ws, i + 1,
+ case when but then 0.0 else plain + case when contrast or reach > 0 then 0.0 else x end end,
+ case when but then 0.0 else negated + case when contrast or reach = 0 then 0.0 else x end end,
+ case when but then before + plain - negated + after else before end,
+ case when but then 0.0 else after + case when not contrast then 0.0 when reach > 0 then -x else x end end,
+ listed + hit, case when no then 3 when but then 0 else greatest(reach - 1, 0) end,
+ case when factor is null then 1.0 else boost * factor end, contrast or but
+ from (select *, coalesce(value, 0.0) * boost as x, case when value is null then 0 else 1 end as hit
+ from (select *, case when not no and not but and factor is null then {mapped(LEXICON)}[w] - 2.0 end as value
+ from (select *, w in ({quoted(NEGATIONS)}) as no, w in ({quoted(CONTRASTS)}) as but,
+ {mapped(INTENSIFIERS)}[w] as factor from (select *, ws[i + 1] as w from fold where i < len(ws))))))"""
+
 # Words next to each other or one apart, by place in the post.
 PAIRS = f"""{WORDS},
 placed as (select r, unnest(range(len(ws))) as i, unnest(ws) as w from words),
@@ -490,6 +514,8 @@ select w.id, {", ".join(f"round(coalesce(s.v{i}, 0.0) / greatest(len(ws), 1), 6)
  where weight > 0.000001""",
     "count_vectors": f"""{PAIRS} select count(distinct word) as words, 0.0::double as gap from weights
  where weight > 0""",
+    "read_sentence": f"""{READ} select id, pos, round(plain, 6) as plain, round(negated, 6) as negated,
+ round(before, 6) as before, round(after, 6) as after, listed from fold where i = len(ws)""",
     "hashing_tf": f"""{BUCKETS} select w.id, string_agg(coalesce(n, 0)::varchar || '.0', ',' order by b.bucket) as rawFeatures
  from words w cross join (select unnest(range(20))::integer as bucket) b
  left join bucket_counts c on c.id = w.id and c.bucket = b.bucket group by w.id""",

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import (
     ARRIVALS,
+    CONTRASTS,
     CORRUPT,
     CURVE_GRID,
+    INTENSIFIERS,
     LARGE_LEXICON,
     LEXICON,
+    NEGATIONS,
     PHRASES,
     REPEATED,
     VOCABULARY,
@@ -21,12 +24,14 @@ from checks.fixtures import (
     table,
 )
 from postflow.functions import posts as P
+from postflow.functions import reading as R
 from postflow.functions import text as X
 from postflow.operators import classify as B
 from postflow.operators import clean as C
 from postflow.operators import cluster as K
 from postflow.operators import cluster_grid as G
 from postflow.operators import metrics as E
+from postflow.operators import ordinal as O
 from postflow.operators import sentiment as S
 from postflow.operators import statistics as M
 from postflow.operators import text as W
@@ -665,6 +670,35 @@ def sentence_scores(spark, sf_dir):
     return scored.select("id", "pos", F.round("score", 6).alias("score"), "length")
 
 
+GRAMMAR = R.Grammar(NEGATIONS, INTENSIFIERS, CONTRASTS)
+
+
+def sentences_read(spark, sf_dir):
+    parts = S.sentences(posts(spark, sf_dir))
+    return parts.select("id", "pos", R.read_sentence(F.col("sentence"), LEXICON, GRAMMAR).alias("r")).select(
+        "id", "pos", "r.*"
+    )
+
+
+@query
+def read_sentence(spark, sf_dir):
+    """Sums of the listed words by what stands before them."""
+    rows = sentences_read(spark, sf_dir)
+    return rows.select("id", "pos", *[F.round(name, 6).alias(name) for name in R.FEATURES], "listed")
+
+
+@query
+def ordinal_posts(spark, sf_dir):
+    """Posts by classes learned from labelled ones: toxic, poor, good."""
+    sums = [F.sum(name).alias(name) for name in R.FEATURES]
+    rows = store(sentences_read(spark, sf_dir).groupBy("id").agg(*sums), shared_dir(spark, "read"))
+    label = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2).alias("label")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), label)
+    known = store(rows.join(labels, "id"), shared_dir(spark, "known"))
+    model = O.fit_ordinal(known, R.FEATURES, classes=3)
+    return rows.select("id", F.round(model.expected_class(), 4).alias("expected"), model.likeliest_class().alias("class"))
+
+
 def lexicon_table(spark, sf_dir):
     """Every word in use gets a score by its length."""
     terms = X.terms(F.col("text"))
