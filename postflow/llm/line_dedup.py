@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from postflow.llm.common import by_position, components, keep_table, text_id
 from postflow.llm.quality_rules import let
-from postflow.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
+from postflow.operators.joins import fits_broadcast, lookup_join
 
 # Edits allowed between lines, the shorter of which has so many characters.
 EDITS = ((20, 1),)
@@ -35,8 +35,10 @@ LEAST_LENGTH = 1
 LEAST_WITHOUT_WORD = 20
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 FINE_SEGMENTS = 8
-CROWD_SEGMENTS = 16
+CROWD_PARTS, CROWD_LEVELS = 4, 2
 BUCKET = 8
+# Documents with lines to look at, up to which their ids go to all tasks.
+ASKED_DOCUMENTS = 100_000
 
 
 def folded(line: Column) -> Column:
@@ -239,34 +241,42 @@ def line_table(docs: DataFrame, least_length: int = LEAST_LENGTH) -> DataFrame:
     return lines.withColumn("id", text_id(F.col("line")))
 
 
+def _finer(rows: DataFrame) -> DataFrame:
+    """``(h, g, line, less, low, high)`` with the range of each row cut in ``CROWD_PARTS``.
+
+    The range is where an edit may lie: all before ``low`` and after ``high`` stays whole. Only
+    parts go on whose whole rest another row shares, among them one that is not a line to be
+    shortened (``less``).
+    """
+    size = F.col("high") - F.col("low") + 1 - F.col("less")
+
+    def part(i: Column) -> Column:
+        start = F.col("low") + F.floor(size * i / CROWD_PARTS).cast("int")
+        end = F.col("low") + F.floor(size * (i + 1) / CROWD_PARTS).cast("int") - 1 + F.col("less")
+        return F.struct(start.alias("low"), end.alias("high"))
+
+    cut = F.explode(F.transform(F.sequence(F.lit(0), F.lit(CROWD_PARTS - 1)), part)).alias("r")
+    rows = rows.select("h", "g", "line", "less", cut).select("h", "g", "line", "less", "r.*")
+    n = F.length("line")
+    rest = (F.col("line").substr(F.lit(1), F.col("low") - 1), F.col("line").substr(F.col("high") + 1, n))
+    rows = keep_table(rows.withColumn("key", F.xxhash64(n - F.col("less"), "low", *rest)), "ranges")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("less").alias("least"))
+    return rows.join(shared.filter("n > 1 and least = 0").select("key"), "key").drop("key")
+
+
 def one_edit_stars(crowd: DataFrame) -> DataFrame:
     """``(ha, ga, hb, gb)``: links that join all lines of ``crowd (h, g, line)`` within one edit.
 
-    Only lines that share all segments but one with another line go on, and only the places of
-    that segment are tried: without the character there, what is left of lines of one length
+    A line goes on with the ranges of characters without which it reads as another line, and only
+    the places in them are tried: without the character there, what is left of lines of one length
     names a group around its least line; what is left of a line that is one longer names a group
     around the line that reads so.
     """
     n = F.length("line")
-    keys = []
-    for less in (0, 1):
-        length = (n - less).cast("int")
-        for gone in range(1, CROWD_SEGMENTS + 1):
-            start, size = segment(length, gone, CROWD_SEGMENTS)
-            before = F.col("line").substr(F.lit(1), start - 1)
-            after = F.col("line").substr(start + size + less, n)
-            keys.append(
-                F.struct(
-                    F.xxhash64(length, F.lit(gone), before, after).alias("key"),
-                    F.lit(less).alias("less"),
-                    start.alias("low"),
-                    (start + size - 1 + less).alias("high"),
-                )
-            )
-    every = crowd.select("h", "g", "line", F.explode(F.array(*keys)).alias("k")).select("h", "g", "line", "k.*")
-    shared = every.groupBy("key").agg(F.count("*").alias("n"), F.min("less").alias("least"))
-    shared = shared.filter("n > 1 and least = 0").select("key")
-    near = every.join(shared, "key")
+    both = F.explode(F.array(F.lit(0), F.lit(1))).alias("less")
+    near = crowd.select("h", "g", "line", both).withColumns({"low": F.lit(1), "high": n})
+    for _ in range(CROWD_LEVELS):
+        near = _finer(near)
     places = near.filter("low <= high").select(
         "h", "g", "line", "less", F.explode(F.sequence("low", "high")).alias("at")
     )
@@ -424,7 +434,7 @@ def repeated_lines(
         held = lookup_join(rows.select("h", F.col("place.doc.h").alias("d")), asked, "h")
         held = keep_table(held.select("d").distinct(), "asked_documents")
         again = lines
-        if fits_broadcast(held, BROADCAST_ROWS):
+        if fits_broadcast(held, ASKED_DOCUMENTS):
             some = docs.select("doc_id", "text", text_id(F.col("text"))["h"].alias("d"))
             again = line_table(some.join(F.broadcast(held), "d"), least_length)
         found = lookup_join(again.select("id.h", "id.g", "line"), asked, "h")
