@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_root(spark: SparkSession) -> str:
     """The folder that the machines of the session share.
 
-    ``spark.checkpoint.dir``, else the folder given to ``setCheckpointDir``, else the warehouse.
+    ``spark.checkpoint.dir``, else the folder given to ``setCheckpointDir``, else the warehouse. A
+    warehouse on the local disk is no folder that machines share, so a cluster must name one.
     """
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    return given or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if given:
+        return given
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return warehouse
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
