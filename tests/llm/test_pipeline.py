@@ -23,7 +23,11 @@ def test_same_as_sql(spark, db, name):
     assert differences(QUERIES[name](spark, SF_DIR), db, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op6_chat_format"}))
+# These have rows of their own: conversations, words, and orders of filters.
+OTHER_ROWS = {"op6_chat_format", "op11_spelling_variants", "op13_filter_audit"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - OTHER_ROWS))
 def test_a_row_for_each_document(spark, name):
     expected = sorted(r["doc_id"] for r in table(spark, SF_DIR, "documents").collect())
     assert sorted(r["doc_id"] for r in QUERIES[name](spark, SF_DIR).collect()) == expected
