@@ -16,17 +16,17 @@ more than a chunk.
 
 from __future__ import annotations
 
-import gc
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postflow.llm import tokens as K
 from postflow.llm.common import keep_table, remainder, small_batches
+from postflow.sources.storage import remove, shared_dir, store
 
 CHUNK_WORDS = 3_000_000
 SHARE = 0.001
@@ -35,6 +35,8 @@ ENDINGS = 64
 CLASSES = 48
 ROUNDS = 8
 HALVES = 4
+# Parts in which the rows of frequent words are added up before they meet.
+PARTS = 16
 PRIOR = 5.0
 
 CHUNK = (
@@ -320,11 +322,10 @@ def _choose(batches, pair: np.ndarray, half: int):
     classes = pair.shape[0]
     for batch in batches:
         own = batch.column(2).to_numpy().astype(int)
-        lists = batch.column(3)
-        flat = lists.flatten()
-        row = np.repeat(np.arange(len(own)), np.diff(lists.offsets.to_numpy()))
+        entries, ends = _entries(batch.column(3))
+        row = np.repeat(np.arange(len(own)), np.diff(ends))
         counts = np.zeros((len(own), 2 * classes + 1))
-        counts[row, flat.field(0).to_numpy()] = flat.field(1).to_numpy()
+        counts[row, entries["key"]] = entries["n"]
         gain = gains(counts[:, :classes], counts[:, classes:-1], counts[:, -1], own, pair)
         gain[:, 0] = -np.inf
         best = gain.argmax(axis=1)
@@ -369,8 +370,12 @@ def _pairs(key, chunks: pa.Table, answers: pa.Table, of_ending: np.ndarray, clas
     return pa.table({"own": used // classes, "key": used % classes, "n": total[used]})
 
 
-def _neighbours(key, chunks: pa.Table, answers: pa.Table, of_ending: np.ndarray, classes: int):
-    """For each unit the classes after it, those before it, and itself after itself."""
+def _neighbours(key, chunks: pa.Table, answers: pa.Table, of_ending: np.ndarray, classes: int, hot: np.ndarray):
+    """For each unit the classes after it, those before it, and itself after itself.
+
+    ``hot`` are words found in most chunks: their rows, and those of the endings and the end of
+    text, carry a ``part`` from 1 by their chunk.
+    """
     made = [pa.table({n: pa.array([], t) for n, t in NEIGHBOURS})]
     for row in chunks.to_pylist():
         before, number, words = _sequence(row)
@@ -390,17 +395,19 @@ def _neighbours(key, chunks: pa.Table, answers: pa.Table, of_ending: np.ndarray,
             ),
             return_counts=True,
         )
-        who = codes // keys
+        begin = np.flatnonzero(np.diff(codes // keys, prepend=-1))
+        who = codes[begin] // keys
         kind = np.where(who < len(words), WORD, np.where(who == len(words), END, ENDING))
         names = np.concatenate([words.view(np.int64), [0], np.arange(ENDINGS)])
+        often = np.isin(names[who], hot) | (kind != WORD)
         made.append(
             pa.table(
                 {
                     "kind": pa.array(kind.astype(np.int32)),
                     "word": pa.array(names[who]),
                     "own": pa.array(np.concatenate([of, of_ending])[who].astype(np.int32)),
-                    "key": pa.array((codes % keys).astype(np.int32)),
-                    "n": pa.array(counts.astype(np.int64)),
+                    "near": _packed_entries(codes % keys, counts, np.append(begin, len(codes))),
+                    "part": pa.array(np.where(often, 1 + row["chunk"] % PARTS, 0).astype(np.int32)),
                 }
             )
         )
@@ -408,9 +415,86 @@ def _neighbours(key, chunks: pa.Table, answers: pa.Table, of_ending: np.ndarray,
 
 
 NEIGHBOURS = [
-    ("kind", pa.int32()), ("word", pa.int64()), ("own", pa.int32()), ("key", pa.int32()), ("n", pa.int64()),
+    ("kind", pa.int32()), ("word", pa.int64()), ("own", pa.int32()), ("near", pa.binary()), ("part", pa.int32()),
 ]
 
+# A class beside a unit and how often, in nine bytes.
+ENTRY = np.dtype([("key", "u1"), ("n", "<i8")])
+
+
+def _packed_entries(keys: np.ndarray, counts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Entries ``ends[i]`` to ``ends[i + 1]`` as the i-th value."""
+    entries = np.empty(len(keys), ENTRY)
+    entries["key"], entries["n"] = keys, counts
+    offsets = pa.py_buffer((ends * ENTRY.itemsize).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, pa.py_buffer(entries.tobytes())])
+
+
+def _entries(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of all values, one after the other, and where each value ends."""
+    offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+    data = packed.buffers()[2]
+    raw = data[int(offsets[0]) : int(offsets[-1])] if data is not None and len(packed) else b""
+    return np.frombuffer(raw, ENTRY), (offsets - offsets[0]) // ENTRY.itemsize
+
+
+def _summed(batches):
+    """Rows sorted by kind and word to one row for each: entries of one key are added.
+
+    A batch's last unit may go on in the next one; that unit's sum is all that is kept between.
+    """
+    names = ["kind", "word", "own", "near", "part"]
+
+    def batch_of(kind, word, own, keys, counts, ends, parts) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kind), pa.array(word), pa.array(own), _packed_entries(keys, counts, ends), pa.array(parts)], names=names
+        )
+
+    waiting = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        kind, word, own, part = (batch.column(i).to_numpy() for i in (0, 1, 2, 4))
+        entries, ends = _entries(batch.column(3))
+        size = np.diff(ends)
+        keys, counts = entries["key"].astype(np.int64), entries["n"].astype(np.int64)
+        if waiting is not None:
+            kind, word, own, part = (np.concatenate([w, x]) for w, x in zip(waiting[:4], (kind, word, own, part)))
+            keys, counts = np.concatenate([waiting[4], keys]), np.concatenate([waiting[5], counts])
+            size = np.concatenate([[len(waiting[4])], size])
+        new = np.ones(len(word), bool)
+        new[1:] = (word[1:] != word[:-1]) | (kind[1:] != kind[:-1])
+        unit = np.cumsum(new) - 1
+        codes, inverse = np.unique(np.repeat(unit, size) * 256 + keys, return_inverse=True)
+        total = np.zeros(len(codes), np.int64)
+        np.add.at(total, inverse, counts)
+        ends = np.searchsorted(codes, np.arange(unit[-1] + 2) * 256)
+        first = np.flatnonzero(new)
+        last = ends[-2]
+        waiting = (kind[first[-1:]], word[first[-1:]], own[first[-1:]], part[first[-1:]], codes[last:] % 256, total[last:])
+        if len(first) > 1:
+            f = first[:-1]
+            yield batch_of(kind[f], word[f], own[f], codes[:last] % 256, total[:last], ends[:-1], part[f])
+    if waiting is not None:
+        kind, word, own, part, keys, counts = waiting
+        yield batch_of(kind, word, own, keys, counts, np.array([0, len(keys)]), part)
+
+
+def _pair_sums(batches, classes: int):
+    """``(own, key, n)``: how often a class stands before another, of a task's units."""
+    total = np.zeros(classes * classes, np.int64)
+    for batch in batches:
+        if batch.num_rows:
+            own = batch.column(0).to_numpy().astype(np.int64)
+            entries, ends = _entries(batch.column(1))
+            code = np.repeat(own, np.diff(ends)) * classes + entries["key"]
+            after = entries["key"] < classes
+            np.add.at(total, code[after], entries["n"][after])
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(used // classes), pa.array(used % classes), pa.array(total[used])], names=["own", "key", "n"]
+    )
+
 
 def _matrix(rows: list, classes: int) -> np.ndarray:
     pair = np.zeros((classes, classes))
@@ -419,19 +503,19 @@ def _matrix(rows: list, classes: int) -> np.ndarray:
     return pair
 
 
-def _release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of passes whose result is stored."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
-def all_classes(chunks: DataFrame, units: DataFrame, of_ending: np.ndarray, classes: int, halves: int = HALVES):
+def all_classes(
+    chunks: DataFrame, units: DataFrame, of_ending: np.ndarray, classes: int, hot: np.ndarray, halves: int = HALVES
+):
     """``(units, of_ending, pair)`` after exchange of all units in parallel.
 
     ``units (word, class)`` are the words that are units, ``of_ending`` the classes of the others.
     Half of the units move at a time, by counts taken before any of them did. A turn that lowers
-    the likelihood is taken back and ends the exchange.
+    the likelihood is taken back and ends the exchange. A unit's counts in a chunk are one packed
+    row; rows of one unit meet sorted and are added as they pass. Those of the ``hot`` words, of
+    the endings and of the end of text are in every chunk, so they are added in parts before.
     """
+    if 2 * classes + 1 > 256:
+        raise ValueError("a class beside a unit has one byte: 127 classes at most")
     spark = chunks.sparkSession
     each = chunk_words(chunks).filter("n > 0").select("word", "chunk", "number")
     rows = chunks.select("chunk", "held", "lengths", "ids", "words", "endings").groupBy("chunk")
@@ -443,19 +527,24 @@ def all_classes(chunks: DataFrame, units: DataFrame, of_ending: np.ndarray, clas
         both = rows.cogroup(answers.groupBy("chunk"))
 
         def counted(fn, of=of_ending):
-            return lambda key, left, right: fn(key, left, right, of, classes)
+            return lambda key, left, right: fn(key, left, right, of_ending=of, classes=classes)
 
         if turn == halves:
             made = both.applyInArrow(counted(_pairs), "own long, key long, n long")
         else:
-            made = both.applyInArrow(counted(_neighbours), "kind int, word long, own int, key int, n long")
-            made = made.repartition("word").groupBy("kind", "word", "own", "key").agg(F.sum("n").alias("n"))
-            made = made.groupBy("kind", "word", "own").agg(F.collect_list(F.struct("key", "n")).alias("near"))
-            near = keep_table(made, "lm_neighbours")
-            made = near.select("own", F.inline("near")).filter(F.col("key") < classes)
+            packed = "kind int, word long, own int, near binary, part int"
+            made = both.applyInArrow(counted(partial(_neighbours, hot=hot)), packed)
+            made = made.repartition("word", "part").sortWithinPartitions("kind", "word")
+            folder = shared_dir(spark, "lm_parts")
+            parts = store(made.mapInArrow(_summed, packed), folder)
+            met = parts.filter("part > 0").repartition("word").sortWithinPartitions("kind", "word")
+            near = parts.filter("part = 0").unionByName(met.mapInArrow(_summed, packed))
+            made = near.select("own", "near").mapInArrow(partial(_pair_sums, classes=classes), "own long, key long, n long")
         pair = _matrix(made.groupBy("own", "key").agg(F.sum("n")).collect(), classes)
         value = likelihood(pair)
         if best and value <= best[0]:
+            if turn < halves:
+                remove(spark, folder)
             break
         best = value, units, of_ending, pair
         if turn < halves:
@@ -467,8 +556,7 @@ def all_classes(chunks: DataFrame, units: DataFrame, of_ending: np.ndarray, clas
             of_ending = of_ending.copy()
             for r in chosen.filter(F.col("kind") == ENDING).collect():
                 of_ending[r["word"]] = r["class"]
-        del made, both, answers
-        _release(spark)
+            remove(spark, folder)
     return best[1:]
 
 
@@ -631,7 +719,7 @@ def score_documents(
     own = keep_table(own, "lm_classes")
     classed = counts.withColumn("class", F.lit(None).cast("int"))
     if bigrams.any():
-        own, of_ending, pair = all_classes(chunks, own, model.of_ending, classes)
+        own, of_ending, pair = all_classes(chunks, own, model.of_ending, classes, frequent.view(np.int64))
         classed = keep_table(counts.join(own, "word", "left").select("word", "ending", "c", "class"), "lm_classed")
         other = F.element_at(F.array(*[F.lit(int(c)) for c in of_ending]), F.col("ending") + 1)
         sums = classed.groupBy(F.coalesce("class", other).alias("class")).agg(

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +163,42 @@ def test_words_that_are_not_frequent_have_classes_of_their_own(spark):
     rows.append((wrong, " ".join(f"the {b} of {a}" for a, b in pairs[::100])))
     score = {r["doc_id"]: r["score"] for r in L.score_documents(docs(spark, rows)).collect()}
     assert score[right] > score[wrong] + 20
+
+
+@pytest.mark.parametrize("batch", [1, 3, 100])
+def test_packed_counts_add_up(batch):
+    rng = np.random.default_rng(batch)
+    rows = []
+    for _ in range(60):
+        keys = np.sort(rng.choice(97, rng.integers(1, 6), replace=False))
+        rows.append((int(rng.integers(0, 3)), int(rng.integers(-4, 4)), 7, keys, rng.integers(1, 9, len(keys)), 1))
+    rows.sort(key=lambda r: r[:2])
+    expected = {}
+    for kind, word, _, keys, n, _ in rows:
+        for k, x in zip(keys.tolist(), n.tolist()):
+            expected[kind, word, k] = expected.get((kind, word, k), 0) + x
+
+    def batches():
+        for low in range(0, len(rows), batch):
+            part = rows[low : low + batch]
+            ends = np.cumsum([0, *[len(r[3]) for r in part]])
+            near = L._packed_entries(np.concatenate([r[3] for r in part]), np.concatenate([r[4] for r in part]), ends)
+            ints = [pa.array([r[i] for r in part]) for i in (0, 1, 2, 5)]
+            yield pa.RecordBatch.from_arrays(
+                [ints[0], ints[1], ints[2], near, ints[3]], names=["kind", "word", "own", "near", "part"]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [x.slice(0, 0) for x in (ints[0], ints[1], ints[2], near, ints[3])],
+                names=["kind", "word", "own", "near", "part"],
+            )
+
+    found, units = {}, []
+    for b in L._summed(batches()):
+        entries, ends = L._entries(b.column(3))
+        for i in range(b.num_rows):
+            unit = (b.column(0)[i].as_py(), b.column(1)[i].as_py())
+            units.append(unit)
+            for e in entries[ends[i] : ends[i + 1]]:
+                found[(*unit, int(e["key"]))] = int(e["n"])
+    assert found == expected and len(units) == len(set(units))
+    assert list(L._summed(iter([]))) == []
