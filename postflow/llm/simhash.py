@@ -30,7 +30,7 @@ LANES = BITS // 64
 RADIUS = 8
 KEPT = 1
 BLOCK = 2048
-TERMS = 1 << 15
+TERMS = 1 << 11
 
 WORDS = [f"w{i}" for i in range(LANES)]
 EDITED = [f"e{i}" for i in range(LANES)]
@@ -56,7 +56,7 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     row, term, weight = terms(data, offsets)
     rows = len(offsets) - 1
     votes = np.zeros((rows, BITS), np.int64)
-    # Some thousand terms at a time, so that a very long text needs no more memory.
+    # Two thousand terms at a time stay in the cache, and a very long text needs no more memory.
     for low in range(0, len(row), TERMS):
         r, t, w = (x[low : low + TERMS] for x in (row, term, weight))
         begin = np.flatnonzero(np.diff(r, prepend=-1))
