@@ -119,3 +119,28 @@ def test_files_of_a_batch_that_ran_again(spark):
     whole(spark, root, times)
     none = shared_dir(spark, "none")
     assert not Z.has_manifest(spark, none) and Z.read_slices(spark, none).count() == 0
+
+
+def test_minutes_are_shared_by_tasks(spark, tmp_path, monkeypatch):
+    """What is small in bytes but many files is not left to one task; the setting comes back."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(writers, "MINUTE_BYTES", 20_000)
+    rows = spark.range(4000).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("text"), F.timestamp_seconds(F.col("id") * 30).alias("createdAt")
+    )
+    writers.write_time_slices(rows, str(tmp_path / "slices"), "minute")
+    assert spark.conf.get(name) == before
+    tasks = {f.name.split("-")[1] for f in (tmp_path / "slices").rglob("part-*.json")}
+    assert len(tasks) > 2
+    assert spark.read.json(str(tmp_path / "slices")).count() == 4000
+
+
+def test_many_files_share_a_task(spark, tmp_path):
+    from postflow.sources.storage import many_files
+
+    rows = spark.range(600).select(F.col("id"), F.lit("a").alias("text"))
+    rows.repartition(600).write.json(str(tmp_path / "files"))
+    with many_files(spark):
+        assert spark.read.schema("id long").json(str(tmp_path / "files")).rdd.getNumPartitions() <= 12
+    assert spark.read.schema("id long").json(str(tmp_path / "files")).count() == 600
