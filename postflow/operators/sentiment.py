@@ -1,14 +1,16 @@
 """Sentence and post sentiment."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postflow.functions import sentiment as S
 from postflow.functions.text import sentences as split_sentences
 from postflow.functions.text import terms
-from postflow.operators.joins import BROADCAST_ROWS, lookup_join
+from postflow.operators.joins import BROADCAST_ROWS, fits_broadcast
 from postflow.sources.storage import store
 
 
@@ -42,22 +44,52 @@ def sentence_scores_by_table(
 ) -> DataFrame:
     """``(key, pos, score, length)`` of :func:`sentences`, for a lexicon in a stored ``(word, score)``.
 
-    Only words, positions and lengths are shuffled, never text. Sentences that share key and
-    position stay apart, by their place in ``parts``: these must come from stored rows, as the join
-    reads them more than once.
+    Only words, positions and lengths are shuffled, never text; and if the lexicon is too large to
+    send to all tasks, each word of some thousand sentences once, with their places. Sentences that
+    share key and position stay apart, by their place in ``parts``: these must come from stored
+    rows, as the join reads them more than once.
     """
-    words = parts.select(
+    rows = parts.select(
         key,
         "pos",
         F.length("sentence").alias("length"),
         F.monotonically_increasing_id().alias("_part"),
         terms(F.col("sentence")).alias("words"),
-    ).select(key, "pos", "length", "_part", F.explode_outer("words").alias("word"))
-    found = lookup_join(words, lexicon, "word", "left", broadcast_rows)
-    means = found.groupBy("_part", key, "pos", "length").agg(
-        F.coalesce(F.avg("score"), F.lit(S.NEUTRAL_SCORE)).alias("score")
     )
-    return means.select(key, "pos", "score", "length")
+    score = F.coalesce(F.avg("score"), F.lit(S.NEUTRAL_SCORE)).alias("score")
+    if fits_broadcast(lexicon, broadcast_rows):
+        words = rows.select(key, "pos", "length", "_part", F.explode_outer("words").alias("word"))
+        found = words.join(F.broadcast(lexicon), "word", "left")
+        return found.groupBy("_part", key, "pos", "length").agg(score).select(key, "pos", "score", "length")
+    words = rows.select("_part", "words").mapInArrow(_words_of_batch, "word string, _first long, places array<int>")
+    # A word has a row for a batch at most, so none is a hot key. Whole batches go to a task, which
+    # adds up their sentences without a further shuffle.
+    found = words.join(lexicon.select("word", "score"), "word").select("_first", "score", "places")
+    found = found.repartition("_first").select("_first", "score", F.explode("places").alias("_place"))
+    means = found.groupBy("_first", "_place").agg(F.avg("score").alias("score"))
+    means = means.select((F.col("_first") + F.col("_place")).alias("_part"), "score")
+    scored = rows.select(key, "pos", "length", "_part").join(means, "_part", "left")
+    return scored.select(
+        key, "pos", F.coalesce("score", F.lit(S.NEUTRAL_SCORE)).alias("score"), "length"
+    )
+
+
+def _words_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each word of a batch of sentences once, with the first one's ``_part`` and the places after it."""
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        parts, words = batch.column("_part").to_numpy(), batch.column("words")
+        sizes = words.value_lengths().fill_null(0).to_numpy()
+        known = words.flatten().dictionary_encode()
+        codes = known.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        places = np.repeat((parts - parts[0]).astype(np.int32), sizes)[order]
+        ends = np.cumsum(np.bincount(codes, minlength=len(known.dictionary)))
+        ends = np.concatenate(([0], ends)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(places))
+        first = pa.array(np.full(len(known.dictionary), parts[0]))
+        yield pa.RecordBatch.from_arrays([known.dictionary, first, lists], names=["word", "_first", "places"])
 
 
 Lexicon = Mapping[str, float] | DataFrame | Callable[[Column], Column]

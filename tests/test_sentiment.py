@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import LEXICON
 from postflow.functions import sentiment as E
+from postflow.functions.text import terms
 from postflow.operators import classify as B
 from postflow.operators import sentiment as S
 from postflow.sources.storage import shared_dir, store
@@ -143,3 +144,21 @@ def test_default_lexicon(spark):
     assert scored(spark, "What a wonderful day", ENGLISH)[0] == 4.0
     assert scored(spark, "A terrible, awful idea", ENGLISH)[0] == 0.0
     assert scored(spark, "The table is brown", ENGLISH)[0] == 2.0
+
+
+def test_a_joined_lexicon_meets_each_word_once_for_many_sentences(spark):
+    texts = [(i % 40, "Good bad good thing. The bad end! ?? Nothing here" if i % 3 else None) for i in range(300)]
+    texts += [(None, "good"), (7, "good good bad"), (8, "é_1 GOOD")]
+    df = spark.createDataFrame(texts, "id long, text string").repartition(3).localCheckpoint()
+    lexicon = {"good": 4.0, "bad": 1.0, "end": 0.0, "é_1": 3.0}
+    table = spark.createDataFrame([*lexicon.items(), ("the", None)], "word string, score double").localCheckpoint()
+    parts = S.sentences(df)
+    expected = S.sentence_scores(parts, lexicon).select("id", "pos", F.round("score", 6), "length")
+    got = S.sentence_scores_by_table(parts, table, broadcast_rows=0)
+    rounded = got.select("id", "pos", F.round("score", 6), "length")
+    assert sorted(map(str, rounded.collect())) == sorted(map(str, expected.collect()))
+    words = parts.select(F.monotonically_increasing_id().alias("_part"), terms(F.col("sentence")).alias("words"))
+    sent = words.mapInArrow(S._words_of_batch, "word string, _first long, places array<int>")
+    whole = words.select(F.explode("words")).count()
+    assert sent.agg(F.sum(F.size("places"))).first()[0] == whole
+    assert sent.count() <= 3 * 10 < whole
