@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postflow.functions.sentiment import NEUTRAL_SCORE, word_score
+from postflow.functions.sentiment import NEUTRAL_SCORE, PROBED_WORDS, word_score
 from postflow.functions.text import terms
 
 # Fixed word lists, for English.
@@ -50,22 +50,29 @@ def read_sentence(sentence: Column, lexicon: Mapping[str, float], grammar: Gramm
     """
     factors = grammar.factors()
     lit = F.lit
+    named = [*grammar.negations, *grammar.contrasts, *factors]
 
-    def step(s: Column, word: Column) -> Column:
+    def step(s: Column, found: Column) -> Column:
+        word = found["word"]
         value = F.coalesce(word_score(word, lexicon) - NEUTRAL_SCORE, lit(None).cast("double"))
+        # The words left out since the last one use up a negation's reach and end a boost.
+        skipped = found["at"] - s["at"] - 1
         token = F.struct(
             word.isin(list(grammar.negations)).alias("no"),
             word.isin(list(grammar.contrasts)).alias("but"),
             (word_score(word, factors) if factors else lit(None).cast("double")).alias("factor"),
             value.alias("value"),
+            found["at"].alias("at"),
+            F.greatest(s["reach"] - skipped, lit(0)).alias("reach"),
+            F.when(skipped > 0, 1.0).otherwise(s["boost"]).alias("boost"),
         )
         return F.get(F.transform(F.array(token), lambda t: after(s, t)), lit(0))
 
     def after(s: Column, t: Column) -> Column:
         grammar_word = t["no"] | t["but"] | t["factor"].isNotNull()
-        x = F.when(grammar_word, 0.0).otherwise(F.coalesce(t["value"], lit(0.0))) * s["boost"]
+        x = F.when(grammar_word, 0.0).otherwise(F.coalesce(t["value"], lit(0.0))) * t["boost"]
         hit = ~grammar_word & t["value"].isNotNull()
-        reached = s["reach"] > 0
+        reached = t["reach"] > 0
         seen = s["contrast"]
         plain = s["plain"] + F.when(~seen & ~reached, x).otherwise(0.0)
         negated = s["negated"] + F.when(~seen & reached, x).otherwise(0.0)
@@ -78,17 +85,37 @@ def read_sentence(sentence: Column, lexicon: Mapping[str, float], grammar: Gramm
             F.when(t["but"], moved + s["after"]).otherwise(s["before"]).alias("before"),
             F.when(t["but"], 0.0).otherwise(later).alias("after"),
             (s["listed"] + F.when(hit, 1).otherwise(0)).alias("listed"),
-            F.when(t["no"], lit(grammar.scope)).when(t["but"], 0).otherwise(F.greatest(s["reach"] - 1, lit(0))).alias("reach"),
-            F.when(t["factor"].isNotNull(), s["boost"] * t["factor"]).otherwise(1.0).alias("boost"),
+            F.when(t["no"], lit(grammar.scope)).when(t["but"], 0).otherwise(F.greatest(t["reach"] - 1, lit(0))).alias("reach"),
+            F.when(t["factor"].isNotNull(), t["boost"] * t["factor"]).otherwise(1.0).alias("boost"),
             (seen | t["but"]).alias("contrast"),
+            t["at"].alias("at"),
+        )
+
+    def known(word: Column) -> Column:
+        if len(lexicon) <= PROBED_WORDS:
+            return word.isin([*named, *lexicon])
+        return word.isin(named) | word_score(word, lexicon).isNotNull()
+
+    def places(words: Column) -> Column:
+        # Most words are unlisted: one probe of a set for each, and the fold sees the others only.
+        marked = F.transform(words, lambda word, at: F.when(known(word), at))
+        return F.transform(
+            F.array_compact(marked), lambda at: F.struct(at.alias("at"), F.get(words, at).alias("word"))
         )
 
     zero = [lit(0.0).alias(name) for name in FEATURES]
     start = F.struct(
-        *zero, lit(0).alias("listed"), lit(0).alias("reach"), lit(1.0).alias("boost"), lit(False).alias("contrast")
+        *zero,
+        lit(0).alias("listed"),
+        lit(0).alias("reach"),
+        lit(1.0).alias("boost"),
+        lit(False).alias("contrast"),
+        lit(-1).alias("at"),
     )
     words = F.coalesce(terms(sentence), F.array().cast("array<string>"))
-    return F.aggregate(words, start, step, lambda s: F.struct(*[s[name].alias(name) for name in (*FEATURES, "listed")]))
+    # Wrapped in an array, the words become a lambda variable and are computed once per row.
+    found = F.get(F.transform(F.array(words), places), lit(0))
+    return F.aggregate(found, start, step, lambda s: F.struct(*[s[name].alias(name) for name in (*FEATURES, "listed")]))
 
 
 def reading_score(sentence: Column, lexicon: Mapping[str, float], grammar: Grammar = Grammar()) -> Column:
