@@ -46,7 +46,8 @@ def write_time_slices(
     """Write posts as JSON below ``year=/month=/day=/hour=[/minute=]/batch_id=`` folders.
 
     Writing one ``batch_id`` again replaces just what it wrote before, so a replayed batch adds
-    no duplicates. ``files`` spreads a batch evenly over that many tasks. By default rows are
+    no duplicates. ``files`` spreads a batch evenly over that many tasks; each has slices that follow
+    one another, so that only those at its ends get files of several tasks. By default rows are
     gathered by slice, and adaptive execution cuts a slice too large for one file into several.
     Minutes are many and small, so that making files is their cost: more tasks share them.
     """
@@ -54,7 +55,11 @@ def write_time_slices(
     when = F.col("createdAt") if ts is None else ts
     sliced = df.select(*df.columns, *slice_columns(when, levels), F.lit(batch_id).alias("batch_id"))
     record = collected_record(sliced) if "createdAt" in df.columns else sliced
-    spread = record.repartition(files) if files else record.hint("rebalance", *levels)
+    if files:
+        hashed = [f.name for f in record.schema if "map<" not in f.dataType.simpleString()]
+        spread = record.repartitionByRange(files, *levels, F.xxhash64(*hashed))
+    else:
+        spread = record.hint("rebalance", *levels)
     writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels, "batch_id")
     share = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": MINUTE_BYTES} if grain == "minute" and not files else {}
     with settings(df.sparkSession, share):
