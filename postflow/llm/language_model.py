@@ -54,7 +54,7 @@ def _packed(values: np.ndarray) -> bytes:
 def _unpacked(data: bytes, count: int) -> np.ndarray:
     raw = pa.Codec("zstd").decompress(data, 4 * count, asbytes=True) if count else b""
     planes = np.frombuffer(raw, np.uint8).reshape(4, count)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int32)
 
 
 def _endings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -176,8 +176,8 @@ def _texts(row: dict) -> tuple:
     lengths = np.array(row["lengths"], dtype=np.int64)
     words = np.frombuffer(row["words"], "<u8")
     ids = _unpacked(row["ids"], int(lengths.sum()))
-    document = np.repeat(np.arange(len(lengths)), lengths + 1)
-    number = np.full(len(document), len(words))
+    document = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
+    number = np.full(len(document), len(words), np.int32)
     number[np.arange(len(ids)) + np.repeat(np.arange(len(lengths)), lengths)] = ids
     return number, document, words
 
@@ -383,18 +383,22 @@ def _neighbours(key, chunks: pa.Table, answers: pa.Table, of_ending: np.ndarray,
         endings = np.frombuffer(row["endings"], np.uint8).astype(np.int64)
         unit = np.arange(len(words) + 1)
         unit[rare] = len(words) + 1 + endings[rare[:-1]]
-        first, second = unit[before], unit[number]
         keys = 2 * classes + 1
-        codes, counts = np.unique(
-            np.concatenate(
-                [
-                    first * keys + of[number],
-                    second * keys + classes + of[before],
-                    first[first == second] * keys + 2 * classes,
-                ]
-            ),
-            return_counts=True,
-        )
+        # A code for each place and side, sorted where it lies: half the bytes unless a text is huge.
+        width = np.int32 if (len(unit) + ENDINGS) * keys < 2**31 else np.int64
+        unit, near = unit.astype(width), of.astype(width)
+        first, second = unit[before], unit[number]
+        twice, places = first[first == second], len(number)
+        codes = np.empty(2 * places + len(twice), width)
+        np.multiply(first, keys, out=codes[:places])
+        codes[:places] += near[number]
+        np.multiply(second, keys, out=codes[places : 2 * places])
+        codes[places : 2 * places] += near[before] + classes
+        codes[2 * places :] = twice * keys + 2 * classes
+        del first, second, twice, before, number
+        codes.sort()
+        starts = np.flatnonzero(np.diff(codes, prepend=width(-1)))
+        codes, counts = codes[starts], np.diff(starts, append=len(codes))
         begin = np.flatnonzero(np.diff(codes // keys, prepend=-1))
         who = codes[begin] // keys
         kind = np.where(who < len(words), WORD, np.where(who == len(words), END, ENDING))

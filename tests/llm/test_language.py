@@ -1,6 +1,7 @@
 """Language identification and LM scoring."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -202,3 +203,40 @@ def test_packed_counts_add_up(batch):
                 found[(*unit, int(e["key"]))] = int(e["n"])
     assert found == expected and len(units) == len(set(units))
     assert list(L._summed(iter([]))) == []
+
+
+def test_neighbours_of_a_chunk_take_few_bytes_a_word():
+    """Numbers of a chunk's words have 32 bits, and its pairs are sorted where they lie."""
+    rng = np.random.default_rng(1)
+    words, places, texts = 20_000, 400_000, 1_000
+    ids = np.minimum((words ** rng.random(places)).astype(np.int64), words - 1)
+    chunk = pa.table(
+        {
+            "chunk": [3],
+            "lengths": [[places // texts] * texts],
+            "held": [[i % 7 == 2 for i in range(texts)]],
+            "ids": [L._packed(ids)],
+            "words": [np.arange(words, dtype="<u8").tobytes()],
+            "endings": [(np.arange(words) % L.ENDINGS).astype(np.uint8).tobytes()],
+        }
+    )
+    answers = pa.table({"number": np.arange(words), "class": np.arange(words) % 47 + 1})
+    of_ending = np.ones(L.ENDINGS, int)
+    tracemalloc.start()
+    try:
+        made = L._neighbours((3,), chunk, answers, of_ending, 48, np.array([0]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 55 * places
+    entries, ends = L._entries(made["near"].combine_chunks())
+    at = np.repeat(np.arange(made.num_rows), np.diff(ends))
+    held = np.repeat([i % 7 == 2 for i in range(texts)], places // texts + 1)
+    number = np.insert(ids, np.arange(1, texts + 1) * (places // texts), words)
+    kept = number[~held]
+    word = np.flatnonzero((made["word"].to_numpy() == 1) & (made["kind"].to_numpy() == L.WORD))[0]
+    key = entries["key"]
+    after, before = [
+        entries["n"][(at == word) & (key >= side) & (key < side + 48)].sum() for side in (0, 48)
+    ]
+    assert before == after == (kept == 1).sum() > 0
