@@ -17,6 +17,7 @@ from postflow.operators import cluster as K
 from postflow.operators import text as X
 from postflow.operators.clean import dedup_posts
 from postflow.operators.sentiment import Lexicon, label_posts
+from postflow.operators.word_training import WordVectorTable
 from postflow.plans.curate import with_words
 from postflow.sources.storage import remove, store
 from postflow.values import (
@@ -61,7 +62,7 @@ def prepare_features(
     size: int = VECTOR_SIZE,
     min_count: int = 0,
     tasks: int = WORD_VECTOR_TASKS,
-) -> tuple[Word2VecModel, DataFrame] | None:
+) -> tuple[Word2VecModel | WordVectorTable, DataFrame] | None:
     """Word vectors fitted on all posts, and the stored ``features`` of the unique posts.
 
     None when the posts hold no word often enough. Words are cut once and stored, for the fit's
@@ -146,8 +147,7 @@ def analyse_posts(
 ) -> Analysis | None:
     """The whole analysis of clean posts. None when there is nothing to learn from.
 
-    ``size``, ``min_count`` and ``tasks`` are those of the word vectors: their vocabulary is held
-    by the driver, so large input needs a ``min_count``.
+    ``size``, ``min_count`` and ``tasks`` are those of the word vectors.
     """
     prepared = prepare_features(clean, out_dir, size, min_count, tasks)
     if prepared is None:
