@@ -11,7 +11,7 @@ from postflow.functions import sentiment as S
 from postflow.functions.text import sentences as split_sentences
 from postflow.functions.text import terms
 from postflow.operators.joins import BROADCAST_ROWS, fits_broadcast
-from postflow.sources.storage import store
+from postflow.sources.storage import shared_dir, store
 
 
 def sentences(df: DataFrame, key: str = "id") -> DataFrame:
@@ -61,6 +61,8 @@ def sentence_scores_by_table(
         words = rows.select(key, "pos", "length", "_part", F.explode_outer("words").alias("word"))
         found = words.join(F.broadcast(lexicon), "word", "left")
         return found.groupBy("_part", key, "pos", "length").agg(score).select(key, "pos", "score", "length")
+    # Stored without the text, which the join below then reads once only, for the words.
+    places = store(rows.select(key, "pos", "length", "_part"), shared_dir(parts.sparkSession, "places"))
     words = rows.select("_part", "words").mapInArrow(_words_of_batch, "word string, _first long, places array<int>")
     # A word has a row for a batch at most, so none is a hot key. Whole batches go to a task, which
     # adds up their sentences without a further shuffle.
@@ -68,7 +70,7 @@ def sentence_scores_by_table(
     found = found.repartition("_first").select("_first", "score", F.explode("places").alias("_place"))
     means = found.groupBy("_first", "_place").agg(F.avg("score").alias("score"))
     means = means.select((F.col("_first") + F.col("_place")).alias("_part"), "score")
-    scored = rows.select(key, "pos", "length", "_part").join(means, "_part", "left")
+    scored = places.join(means, "_part", "left")
     return scored.select(
         key, "pos", F.coalesce("score", F.lit(S.NEUTRAL_SCORE)).alias("score"), "length"
     )
